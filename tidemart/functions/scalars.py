@@ -48,7 +48,15 @@ def chosen_by(rank: Column, value: Column) -> Column:
     return F.min(F.struct((-rank).alias("rank"), value.alias("value")))["value"]
 
 
-def hash_unit(seed: int, *cols: str | Column) -> Column:
+def _digest_number(text: Column, digits: int) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
+
+
+def hash_unit(seed: int | str, *cols: str | Column) -> Column:
     """A number in [0, 1) fixed by the columns and the seed, whatever the partitioning."""
-    spread = F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1_000_003))
-    return spread / F.lit(1_000_003.0)
+    return _digest_number(F.concat_ws("|", F.lit(str(seed)), *cols), 8) / F.lit(4294967296.0)
+
+
+def surrogate_key(*cols: str | Column) -> Column:
+    """A 60-bit key that depends on the business columns alone, so re-runs agree."""
+    return _digest_number(F.concat_ws("|", *cols), 15)

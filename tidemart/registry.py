@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.functions.scalars import sixth
+from tidemart.oracle import features as sql_features
 from tidemart.oracle import marts as sql_marts
-from tidemart.plans import churn, marts
+from tidemart.plans import churn, collaborative, content, marts
 from tidemart.session import tune
 from tidemart.sources.star import Star, load_star
 
@@ -44,3 +45,28 @@ over_star(
     "customer_mart", lambda t: marts.customer_mart(churn.churn_features(t)),
     sql_marts.CHURN["customer_mart"],
 )
+
+for _name, _sql in sql_features.COLLABORATIVE.items():
+    if _name != "duplicate_count":
+        over_star(_name, lambda t, p=getattr(collaborative, _name): rounded(p(t)), _sql)
+over_star(
+    "duplicate_count",
+    lambda t: collaborative.duplicate_count(
+        collaborative.cf_interaction_table(t, ordered=False).select(
+            "customer_unique_id", "product_key", "purchase_count", "total_spent_on_product"
+        )
+    ),
+    sql_features.COLLABORATIVE["duplicate_count"],
+)
+for _name in ("product_content_features", "customer_content_features", "satisfaction_labels"):
+    over_star(
+        _name, lambda t, p=getattr(content, _name): rounded(p(t)), sql_features.CONTENT[_name]
+    )
+over_star(
+    "product_performance",
+    lambda t: rounded(marts.product_performance(content.product_content_features(t))),
+    sql_features.CONTENT["product_performance"],
+)
+
+# The other registries add to the same tables.
+from tidemart import registry_basics  # noqa: E402, F401
