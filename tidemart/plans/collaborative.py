@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.scalars import as_double, mean_of
+from tidemart.operators.quantiles import medians
+from tidemart.session import written
 from tidemart.sources.star import Star
 
 SIZE_COLUMNS = [
@@ -230,12 +232,11 @@ def cf_interaction_table(t: Star, ordered: bool = True) -> DataFrame:
 def cf_cleaned(table: DataFrame) -> DataFrame:
     """Median-filled scores, rows without product sizes dropped, duplicates removed.
 
-    The medians come from one aggregate over all rows and enter as scalars.
+    The table is written once: the medians and the cleaned rows both read the copy.
     """
-    medians = table.agg(*[F.median(c).alias(c) for c in SCORE_COLUMNS])
-    filled = {
-        c: F.coalesce(F.col(c), medians.select(c).scalar()) for c in SCORE_COLUMNS
-    }
+    table = written(table, "interactions")
+    found = medians(table, SCORE_COLUMNS)
+    filled = {c: F.coalesce(F.col(c), F.lit(v)) for c, v in found.items() if v is not None}
     return table.withColumns(filled).na.drop(subset=SIZE_COLUMNS).dropDuplicates()
 
 
