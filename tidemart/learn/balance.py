@@ -42,8 +42,9 @@ def random_oversample(df: DataFrame, label: str, row_id: str, seed: int = 42) ->
     small, large = min(counts, key=counts.get), max(counts, key=counts.get)
     minority = df.filter(F.col(label) == small)
     more = _copies(minority, counts[large] - counts[small], counts[small], seed, row_id)
+    fresh = more.withColumn(row_id, F.xxhash64(row_id, "copy")).drop("copy")
     return df.withColumn("synthetic", F.lit(False)).unionByName(
-        more.drop("copy").withColumn("synthetic", F.lit(True))
+        fresh.withColumn("synthetic", F.lit(True))
     )
 
 
@@ -54,8 +55,8 @@ def neighbour_count(minority: int, k: int = 5) -> int:
 def smote(df: DataFrame, label: str, row_id: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Add minority rows between a row and one of its nearest minority neighbours.
 
-    ``df`` has a unique long ``row_id`` and a ``features`` vector. New rows keep the
-    identifier of the row they start from and are marked ``synthetic``.
+    ``df`` has a unique long ``row_id`` and a ``features`` vector. New rows get an identifier
+    of their own and are marked ``synthetic``.
     """
     counts = class_counts(df, label)
     small, large = min(counts, key=counts.get), max(counts, key=counts.get)
@@ -76,7 +77,7 @@ def smote(df: DataFrame, label: str, row_id: str, k: int = 5, seed: int = 42) ->
         F.col("vec"), F.coalesce(other, F.col("vec")), lambda a, b: a + gap * (b - a)
     )
     fresh = starts.select(
-        F.col("id").alias(row_id), F.lit(small).cast(df.schema[label].dataType).alias(label),
+        F.xxhash64("id", "copy").alias(row_id), F.lit(small).cast(df.schema[label].dataType).alias(label),
         array_to_vector(mixed).alias("features"), F.lit(True).alias("synthetic"),
     )
     return base.unionByName(fresh)

@@ -42,6 +42,7 @@ def plant(corpus: DataFrame, n: int, dim: int, seed: int, leaf: int = LEAF):
         cuts = rows.groupBy("node").agg(
             F.count(F.lit(1)).alias("n_node"),
             F.percentile_approx(_project("vec", axis), probs, F.lit(1000)).alias("cuts"),
+            F.max(_project("vec", axis)).alias("far"),
         ).filter(F.col("n_node") > leaf).drop("n_node")
         tables.append((axis, cuts))
         rows = _descend(rows, axis, cuts)
@@ -49,7 +50,8 @@ def plant(corpus: DataFrame, n: int, dim: int, seed: int, leaf: int = LEAF):
 
 
 def _descend(rows: DataFrame, axis: list[float], cuts: DataFrame) -> DataFrame:
-    place = _project("vec", axis)
+    # A query beyond the node's farthest row follows that row, so it never meets an empty leaf.
+    place = F.least(_project("vec", axis), F.col("far"))
     child = F.size(F.filter("cuts", lambda c: c < place))
     return (
         rows.join(broadcast_if_small(cuts), "node", "left")
@@ -59,7 +61,7 @@ def _descend(rows: DataFrame, axis: list[float], cuts: DataFrame) -> DataFrame:
                 F.concat_ws(".", "node", child.cast("string"))
             ),
         )
-        .drop("cuts")
+        .drop("cuts", "far")
     )
 
 
@@ -97,7 +99,8 @@ def leaves(queries: DataFrame, corpus: DataFrame, n: int, dim: int, seed: int,
     asked = queries.join(plan, "node").withColumn("part", dealt).withColumn(
         "chunk", chunk
     ).withColumn("cell", cell).drop("node", "part", "chunk", "n_parts", "n_chunks")
-    return asked, held
+    # Fresh column identities let the two sides come from the same frame.
+    return asked, held.select(*[F.col(c).alias(c) for c in held.columns])
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.functions.scalars import sixth
-
 MIN_WORDS = 8
 MAX_WORDS = 100
 
@@ -23,3 +21,65 @@ def worth_summarising(content: DataFrame, min_words: int = MIN_WORDS,
                       col: str = "review_comment_message") -> DataFrame:
     """Reviews whose message is set and has at least ``min_words`` words."""
     return content.filter(F.col(col).isNotNull() & (word_count(F.col(col)) >= min_words))
+
+
+def sentences(content: DataFrame, key: str, col: str) -> DataFrame:
+    """(key, pos, sentence): the text cut after ., ! and ? followed by whitespace."""
+    marked = F.regexp_replace(F.trim(F.col(col)), r"([.!?])\s+", "$1\u0001")
+    return content.select(key, F.posexplode(F.split(marked, "\u0001")).alias("pos", "sentence"))
+
+
+def _words(col: str) -> Column:
+    return F.filter(F.split(F.lower(F.col(col)), r"\s+"), lambda w: w != "")
+
+
+def summarise_reviews(content: DataFrame, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS,
+                      min_summary: int = 10, key: str = "review_content_key",
+                      col: str = "review_comment_message") -> DataFrame:
+    """Extractive summaries: the sentences with the densest frequent words of their review.
+
+    A sentence scores the summed review-wide counts of its longer words, per word. The best
+    sentences are taken while they fit ``max_words`` and in any case until ``min_summary``
+    words are reached, cut at ``max_words``; they appear in their order in the review.
+    """
+    parts = sentences(worth_summarising(content, min_words, col), key, col).withColumn(
+        "n_words", F.size(_words("sentence"))
+    ).filter("n_words > 0")
+    terms = parts.select(key, "pos", F.explode(_words("sentence")).alias("word")).filter(
+        F.length("word") >= 4
+    ).groupBy(key, "pos", "word").agg(F.count(F.lit(1)).alias("n_here"))
+    counts = terms.groupBy(key, "word").agg(F.sum("n_here").alias("n_all"))
+    weights = terms.join(counts, [key, "word"]).groupBy(key, "pos").agg(
+        F.sum(F.col("n_here") * F.col("n_all")).alias("weight")
+    )
+    ranked = parts.join(weights, [key, "pos"], "left").withColumn(
+        "score", F.coalesce("weight", F.lit(0)) / F.col("n_words")
+    )
+    best_first = Window.partitionBy(key).orderBy(F.desc("score"), "pos")
+    upto = F.sum("n_words").over(best_first)
+    taken = ranked.withColumn("upto", upto).filter(
+        (F.col("upto") <= max_words) | (F.col("upto") - F.col("n_words") < min_summary)
+    )
+    joined = taken.groupBy(key).agg(
+        F.array_join(
+            F.transform(
+                F.sort_array(F.collect_list(F.struct("pos", "sentence"))), lambda s: s["sentence"]
+            ), " ",
+        ).alias("text")
+    )
+    kept = F.slice(F.filter(F.split("text", r"\s+"), lambda w: w != ""), 1, max_words)
+    return joined.select(key, F.array_join(kept, " ").alias("summary"))
+
+
+def summarise_with(content: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]],
+                   key: str = "review_content_key", col: str = "review_comment_message"
+                   ) -> DataFrame:
+    """Summaries by a user's model; ``load`` runs once per task and gives a batch function."""
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+        for batch in batches:
+            yield pd.Series(model(batch.tolist()), dtype=object)
+
+    return worth_summarising(content, col=col).select(key, run(F.col(col)).alias("summary"))

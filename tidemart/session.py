@@ -49,6 +49,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
+def checkpoint_ready(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage: point Spark's checkpoints at the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoints"))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
