@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 from tidemart.operators.relational import broadcast_if_small
 
 HEAVY = 1000
+MOST_HEAVY = 100_000
 BLOCK = 1024
+BLOCK_RATINGS = 2_000_000
+USERS_AT_ONCE = 4096
 PLACES = 9
 
 
@@ -32,10 +35,16 @@ class Split(NamedTuple):
 def by_activity(ratings: DataFrame, heavy: int = HEAVY) -> Split:
     """Ratings of users with at most ``heavy`` ratings, and of the others.
 
-    The users above the limit number at most rows / ``heavy``.
+    Where more than ``MOST_HEAVY`` users lie above the limit, it is raised until about that
+    many do, so the busy side has a bounded number of users.
     """
-    busy = ratings.groupBy("user").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > heavy)
-    busy = broadcast_if_small(busy.select("user"))
+    activity = ratings.groupBy("user").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > heavy)
+    above = activity.count()
+    if above > MOST_HEAVY:
+        heavy = activity.agg(
+            F.percentile_approx("n", 1 - MOST_HEAVY / above, F.lit(10_000)).alias("n")
+        ).first()["n"]
+    busy = broadcast_if_small(activity.filter(F.col("n") > heavy).select("user"))
     return Split(
         ratings.join(busy, "user", "left_anti"), ratings.join(busy, "user", "left_semi")
     )
@@ -157,8 +166,10 @@ def nearest_items(ratings: DataFrame, k: int = 40, min_common: int = 1, heavy: i
     light, busy = by_activity(ratings, heavy)
     pairs = pair_sums(light)
     busy_items = busy.select(F.col("item")).distinct()
-    n_busy = busy_items.count()
-    if n_busy == 0:
+    size = busy.agg(
+        F.countDistinct("item").alias("items"), F.count(F.lit(1)).alias("ratings")
+    ).first()
+    if size["ratings"] == 0:
         cells = both_ways(pairs).filter(F.col("n") >= min_common)
         return _best(cells.select("i", "j", _similarity(F.col("n"), F.col("gap")).alias("sim")), k)
     # Cells with an end that no busy user rated are complete as they are.
@@ -170,7 +181,7 @@ def nearest_items(ratings: DataFrame, k: int = 40, min_common: int = 1, heavy: i
     outside = both_ways(marked.filter(~inside)).filter(F.col("n") >= min_common).select(
         "i", "j", _similarity(F.col("n"), F.col("gap")).alias("sim")
     )
-    blocks = max(1, -(-n_busy // block))
+    blocks = max(-(-size["items"] // block), -(-size["ratings"] // BLOCK_RATINGS))
     near = _block_cells(busy, marked.filter(inside), blocks, k, min_common)
     return _best(outside.unionByName(near), k)
 
@@ -202,30 +213,32 @@ def _block_cells(busy: DataFrame, pairs: DataFrame, blocks: int, k: int, min_com
             return empty
         a, b = int(left["a"].iloc[0]), int(left["b"].iloc[0])
         left = left.drop_duplicates(["user", "item"])
-        users = {u: x for x, u in enumerate(sorted(left["user"].unique()))}
-        one = sorted(left.loc[left["own"] == a, "item"].unique())
-        two = sorted(left.loc[left["own"] == b, "item"].unique())
-        if not one or not two:
+        one = np.sort(left.loc[left["own"] == a, "item"].unique())
+        two = np.sort(left.loc[left["own"] == b, "item"].unique())
+        if not len(one) or not len(two):
             return empty
-        at_one = {item: x for x, item in enumerate(one)}
-        at_two = {item: x for x, item in enumerate(two)}
-
-        def dense(block, at):
-            rows = left[left["own"] == block]
-            seen, value = np.zeros((len(at), len(users))), np.zeros((len(at), len(users)))
-            x, y = rows["item"].map(at).to_numpy(), rows["user"].map(users).to_numpy()
-            seen[x, y], value[x, y] = 1.0, rows["r"].to_numpy()
-            return seen, value
-
-        (s1, v1), (s2, v2) = dense(a, at_one), dense(b, at_two)
-        n = s1 @ s2.T
-        gap = (v1 * v1) @ s2.T + s1 @ (v2 * v2).T - 2.0 * (v1 @ v2.T)
-        for i, j, m, g in right[["i", "j", "n", "gap"]].itertuples(index=False):
-            for p, q in ((i, j), (j, i)):
-                if p in at_one and q in at_two:
-                    n[at_one[p], at_two[q]] += m
-                    gap[at_one[p], at_two[q]] += g
-        ids1, ids2 = np.array(one), np.array(two)
+        n, gap = np.zeros((len(one), len(two))), np.zeros((len(one), len(two)))
+        users = np.sort(left["user"].unique())
+        for start in range(0, len(users), USERS_AT_ONCE):
+            some = users[start:start + USERS_AT_ONCE]
+            rows = left[(left["user"] >= some[0]) & (left["user"] <= some[-1])]
+
+            def dense(block, items, rows=rows, some=some):
+                own = rows[rows["own"] == block]
+                seen, value = np.zeros((len(items), len(some))), np.zeros((len(items), len(some)))
+                x, y = np.searchsorted(items, own["item"]), np.searchsorted(some, own["user"])
+                seen[x, y], value[x, y] = 1.0, own["r"]
+                return seen, value
+
+            (s1, v1), (s2, v2) = dense(a, one), dense(b, two)
+            n += s1 @ s2.T
+            gap += (v1 * v1) @ s2.T + s1 @ (v2 * v2).T - 2.0 * (v1 @ v2.T)
+        for p, q in (("i", "j"), ("j", "i")):
+            held = right[right[p].isin(one) & right[q].isin(two)]
+            x, y = np.searchsorted(one, held[p]), np.searchsorted(two, held[q])
+            n[x, y] += held["n"].to_numpy()
+            gap[x, y] += held["gap"].to_numpy()
+        ids1, ids2 = one, two
         sim = np.round(1.0 / (np.maximum(gap, 0.0) / np.maximum(n, 1.0) + 1.0), PLACES)
         sim[(n < max(min_common, 1)) | (ids1[:, None] == ids2[None, :])] = -1.0
         found = _top(sim, ids1, ids2, k)

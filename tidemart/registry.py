@@ -69,4 +69,4 @@ over_star(
 )
 
 # The other registries add to the same tables.
-from tidemart import registry_basics, registry_medallion  # noqa: E402, F401
+from tidemart import registry_basics, registry_learning, registry_medallion  # noqa: E402, F401
