@@ -22,6 +22,16 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if planned_bytes(df) <= limit else df
 
 
+def spread_if_small(df: DataFrame, limit: int = 1 << 30) -> DataFrame:
+    """Spread a small input over all cores before heavy per-row work.
+
+    Small files often come as one row group, hence one task. Large inputs already have many
+    and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if planned_bytes(df) <= limit else df
+
+
 def lookup(df: DataFrame, dim: DataFrame, key: str | list[str]) -> DataFrame:
     """Left join with a lookup table; unmatched rows keep nulls."""
     return df.join(broadcast_if_small(dim), key, "left")

@@ -165,14 +165,17 @@ def _persons(t: Star) -> DataFrame:
 
 
 def purchase_cells(t: Star) -> DataFrame:
-    """Item counts per (person, product, seller)."""
-    per_key = t.items.groupBy("customer_key", "product_key", "seller_key").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """Item counts per (person, product, seller).
+
+    The cells feed several tables. Filtering the product here, where every user of the cells
+    would, keeps their plans equal, so Spark computes the cells once.
+    """
     return (
-        per_key.join(_persons(t), "customer_key")
+        t.items.select("customer_key", "product_key", "seller_key")
+        .filter(F.col("product_key").isNotNull())
+        .join(_persons(t), "customer_key")
         .groupBy("customer_unique_id", "product_key", "seller_key")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.scalars import as_double, mean_of
+from tidemart.functions.scalars import as_double, mean, mean_of
 from tidemart.operators.quantiles import medians
 from tidemart.session import written
 from tidemart.sources.star import Star
@@ -49,28 +49,17 @@ def user_item_interactions(t: Star) -> DataFrame:
         ),
         "order_purchase_date_key",
     )
-    per_key = (
-        t.items.join(placed, "order_key")
-        .groupBy("customer_key", "product_key")
-        .agg(
-            F.count("order_id").alias("n"),
-            F.sum("price").alias("spent"),
-            F.count("price").alias("n_priced"),
-            F.sum("freight_value").alias("freight"),
-            F.min("full_date").alias("first"),
-            F.max("full_date").alias("last"),
-        )
-    )
     return (
-        per_key.join(_persons(t), "customer_key")
+        t.items.join(placed, "order_key")
+        .join(_persons(t), "customer_key")
         .groupBy("customer_unique_id", "product_key")
         .agg(
-            F.sum("n").alias("purchase_count"),
-            as_double(F.sum("spent")).alias("total_spent_on_product"),
-            mean_of(F.sum("spent"), F.sum("n_priced")).alias("avg_price_for_product"),
-            as_double(F.sum("freight")).alias("total_freight_on_product"),
-            F.min("first").alias("first_purchase_date"),
-            F.max("last").alias("last_purchase_date"),
+            F.count("order_id").alias("purchase_count"),
+            as_double(F.sum("price")).alias("total_spent_on_product"),
+            mean("price").alias("avg_price_for_product"),
+            as_double(F.sum("freight_value")).alias("total_freight_on_product"),
+            F.min("full_date").alias("first_purchase_date"),
+            F.max("full_date").alias("last_purchase_date"),
         )
     )
 
@@ -86,20 +75,17 @@ def reviewed_pairs(t: Star) -> DataFrame:
         F.sum("score").alias("score_total"),
         F.count("score").alias("n_scores"),
     )
-    bought = t.items.groupBy("order_key", "product_key").agg(F.count("order_id").alias("n_items"))
-    per_key = (
-        bought.join(by_author, "order_key")
-        .groupBy("customer_key", "product_key")
-        .agg(
-            F.sum(F.col("n_items") * F.col("score_total")).alias("score_total"),
-            F.sum(F.col("n_items") * F.col("n_scores")).alias("n_scores"),
-            F.sum(F.col("n_items") * F.col("n_reviews")).alias("n_rows"),
-        )
-    )
+    written_by = by_author.join(_persons(t), "customer_key").drop("customer_key")
     return (
-        per_key.join(_persons(t), "customer_key")
+        t.items.select("order_key", "order_id", "product_key")
+        .join(written_by, "order_key")
         .groupBy("customer_unique_id", "product_key")
-        .agg(*[F.sum(c).alias(c) for c in ("score_total", "n_scores", "n_rows")])
+        .agg(
+            F.sum("score_total").alias("score_total"), F.sum("n_scores").alias("n_scores"),
+            F.sum(F.when(F.col("order_id").isNotNull(), F.col("n_reviews")).otherwise(0)).alias(
+                "n_rows"
+            ),
+        )
     )
 
 
@@ -111,34 +97,24 @@ def product_reviews(t: Star) -> DataFrame:
 
 
 def _user_rows(t: Star) -> DataFrame:
-    """Per (customer, order, category): totals and the order's folded reviews."""
+    """Per item: person, place, order, category and the order's folded reviews."""
     known = t.products.select("product_key", "product_category_name")
     return (
-        t.items.join(known, "product_key")
-        .groupBy("customer_key", "order_key", "product_category_name")
-        .agg(F.sum("price").alias("spent"), F.count(F.lit(1)).alias("n_items"))
+        t.items.select("order_key", "customer_key", "product_key", F.col("price").alias("spent"))
+        .join(known, "product_key")
         .join(t.orders.select("order_key", "order_id"), "order_key")
         .join(order_reviews(t), "order_key", "left")
         .join(_persons(t, "customer_city", "customer_state"), "customer_key")
     )
 
 
-def _user_totals(rows: DataFrame, keys: list[str], spent: Column, weight: Column) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        as_double(F.sum(spent)).alias("total_monetary"),
-        mean_of(
-            F.sum(weight * F.col("score_total")), F.sum(weight * F.col("n_scores"))
-        ).alias("avg_overall_review_score"),
-        F.countDistinct("product_category_name").alias("distinct_categories_purchased"),
-    )
-
-
 def cf_user_features(t: Star) -> DataFrame:
     """Per (person, city, state). Spend counts once per review of the order."""
-    return _user_totals(
-        _user_rows(t), ["customer_unique_id", "customer_city", "customer_state"],
-        F.col("spent") * _repeats(), F.col("n_items"),
+    return _user_rows(t).groupBy("customer_unique_id", "customer_city", "customer_state").agg(
+        F.countDistinct("order_id").alias("total_orders"),
+        as_double(F.sum(F.col("spent") * _repeats())).alias("total_monetary"),
+        mean_of(F.sum("score_total"), F.sum("n_scores")).alias("avg_overall_review_score"),
+        F.countDistinct("product_category_name").alias("distinct_categories_purchased"),
     )
 
 
@@ -166,30 +142,17 @@ def cf_user_features_dedup(t: Star) -> DataFrame:
 
 def cf_product_features(t: Star) -> DataFrame:
     """Per product; sales and price are weighted by the reviews of the order."""
-    per_key = (
-        t.items.groupBy("order_key", "product_key", "customer_key")
-        .agg(
-            F.count("order_id").alias("n_items"),
-            F.sum("price").alias("price"),
-            F.count("price").alias("n_priced"),
-        )
-        .join(order_reviews(t), "order_key", "left")
-        .groupBy("product_key", "customer_key")
-        .agg(
-            F.sum(F.col("price") * _repeats()).alias("price"),
-            F.sum(F.col("n_priced") * _repeats()).alias("n_priced"),
-            F.sum(F.col("n_items") * _repeats()).alias("n_sales"),
-            F.sum(F.col("n_items") * F.col("score_total")).alias("score_total"),
-            F.sum(F.col("n_items") * F.col("n_scores")).alias("n_scores"),
-        )
-    )
+    priced = F.when(F.col("price").isNotNull(), _repeats())
+    sold = F.when(F.col("order_id").isNotNull(), _repeats()).otherwise(0)
     return (
-        per_key.join(_persons(t), "customer_key")
+        t.items.select("order_key", "order_id", "product_key", "customer_key", "price")
+        .join(order_reviews(t), "order_key", "left")
+        .join(_persons(t), "customer_key")
         .groupBy("product_key")
         .agg(
-            mean_of(F.sum("price"), F.sum("n_priced")).alias("avg_product_price"),
+            mean_of(F.sum(F.col("price") * _repeats()), F.sum(priced)).alias("avg_product_price"),
             F.countDistinct("customer_unique_id").alias("num_unique_purchasers"),
-            F.sum("n_sales").alias("total_sales_count"),
+            F.sum(sold).alias("total_sales_count"),
             mean_of(F.sum("score_total"), F.sum("n_scores")).alias("avg_product_review_score"),
         )
     )

@@ -51,17 +51,14 @@ def product_review_stats(t: Star) -> DataFrame:
 
     Scores take few values, so rows are first counted per (product, score).
     """
-    per_order = t.items.groupBy("order_key", "product_key").agg(F.count(F.lit(1)).alias("n_items"))
     scores = t.reviews.groupBy("order_key", "score").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("review_id").alias("n_reviews")
     )
     per_score = (
-        per_order.join(scores, "order_key")
+        t.items.select("order_key", "product_key")
+        .join(scores, "order_key")
         .groupBy("product_key", "score")
-        .agg(
-            F.sum(F.col("n_items") * F.col("n_rows")).alias("n"),
-            F.sum(F.col("n_items") * F.col("n_reviews")).alias("n_reviews"),
-        )
+        .agg(F.sum("n_rows").alias("n"), F.sum("n_reviews").alias("n_reviews"))
     )
     score, n = F.col("score"), F.col("n")
     scored = F.sum(F.when(score.isNotNull(), n))
@@ -81,19 +78,15 @@ def product_review_stats(t: Star) -> DataFrame:
 
 
 def product_payment_stats(t: Star) -> DataFrame:
-    per_order = t.items.groupBy("order_key", "product_key").agg(F.count(F.lit(1)).alias("n_items"))
     paid = t.payments.groupBy("order_key").agg(
         F.sum("payment_installments").alias("installments"),
         F.count("payment_installments").alias("n"),
     )
     return (
-        per_order.join(paid, "order_key")
+        t.items.select("order_key", "product_key")
+        .join(paid, "order_key")
         .groupBy("product_key")
-        .agg(
-            mean_of(
-                F.sum(F.col("installments") * F.col("n_items")), F.sum(F.col("n") * F.col("n_items"))
-            ).alias("avg_payment_installments")
-        )
+        .agg(mean_of(F.sum("installments"), F.sum("n")).alias("avg_payment_installments"))
     )
 
 
@@ -141,18 +134,17 @@ def customer_transactions(t: Star) -> DataFrame:
         ),
         "order_purchase_date_key",
     )
-    per_order = (
-        t.items.groupBy("customer_key", "order_key", "seller_key")
-        .agg(F.sum("price").alias("spent"), F.count("product_key").alias("n_items"))
+    bought = (
+        t.items.select("customer_key", "order_key", "seller_key", "product_key", "price")
         .join(placed, "order_key")
         .join(_persons(t), "customer_key")
     )
-    totals = per_order.groupBy("customer_unique_id").agg(
+    totals = bought.groupBy("customer_unique_id").agg(
         F.countDistinct("order_id").alias("frequency"),
-        F.sum("spent").alias("spent"),
+        F.sum("price").alias("spent"),
         F.max("full_date").alias("last_purchase_date"),
         F.min("full_date").alias("first_purchase_date"),
-        F.sum("n_items").alias("total_items_purchased"),
+        F.count("product_key").alias("total_items_purchased"),
         F.countDistinct("seller_key").alias("distinct_sellers_count"),
     )
     return totals.select(
@@ -170,11 +162,9 @@ def _category_days(t: Star) -> DataFrame:
         t.items.select("order_key", "customer_key", "product_key")
         .join(t.orders.select("order_key", "order_purchase_date_key"), "order_key")
         .join(t.products.select("product_key", "product_category_name"), "product_key")
-        .groupBy("customer_key", "order_purchase_date_key", "product_category_name")
-        .agg(F.count(F.lit(1)).alias("n"))
         .join(_persons(t), "customer_key")
         .groupBy("customer_unique_id", "order_purchase_date_key", "product_category_name")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 

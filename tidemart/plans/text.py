@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.operators.relational import spread_if_small
+
 MIN_WORDS = 8
 MAX_WORDS = 100
 
@@ -23,14 +25,33 @@ def worth_summarising(content: DataFrame, min_words: int = MIN_WORDS,
     return content.filter(F.col(col).isNotNull() & (word_count(F.col(col)) >= min_words))
 
 
-def sentences(content: DataFrame, key: str, col: str) -> DataFrame:
-    """(key, pos, sentence): the text cut after ., ! and ? followed by whitespace."""
+def _sentences(col: str) -> Column:
+    """The text cut after ., ! and ? followed by whitespace."""
     marked = F.regexp_replace(F.trim(F.col(col)), r"([.!?])\s+", "$1\u0001")
-    return content.select(key, F.posexplode(F.split(marked, "\u0001")).alias("pos", "sentence"))
+    return F.split(marked, "\u0001")
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
 
 
-def _words(col: str) -> Column:
-    return F.filter(F.split(F.lower(F.col(col)), r"\s+"), lambda w: w != "")
+def sentence_weights(content: DataFrame, key: str, col: str) -> DataFrame:
+    """(key, weights): per sentence position the summed review-wide counts of its longer words.
+
+    Each occurrence of a word weighs its count in the review, so one grouping by word and one
+    by sentence are enough; no frame of words is joined with its own counts.
+    """
+    parts = content.select(key, F.posexplode(_sentences(col)).alias("pos", "sentence"))
+    words = parts.select(key, "pos", F.explode(_words(F.col("sentence"))).alias("word"))
+    places = words.filter(F.length("word") >= 4).groupBy(key, "word").agg(
+        F.collect_list("pos").alias("at")
+    )
+    weights = places.select(
+        key, F.size("at").alias("n"), F.explode("at").alias("pos")
+    ).groupBy(key, "pos").agg(F.sum("n").alias("weight"))
+    return weights.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("pos", "weight"))).alias("weights")
+    )
 
 
 def summarise_reviews(content: DataFrame, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS,
@@ -38,37 +59,36 @@ def summarise_reviews(content: DataFrame, min_words: int = MIN_WORDS, max_words:
                       col: str = "review_comment_message") -> DataFrame:
     """Extractive summaries: the sentences with the densest frequent words of their review.
 
-    A sentence scores the summed review-wide counts of its longer words, per word. The best
-    sentences are taken while they fit ``max_words`` and in any case until ``min_summary``
-    words are reached, cut at ``max_words``; they appear in their order in the review.
+    A sentence scores its weight per word. The best sentences are taken while they fit
+    ``max_words`` and in any case until ``min_summary`` words are reached, cut at
+    ``max_words``; they appear in their order in the review.
     """
-    parts = sentences(worth_summarising(content, min_words, col), key, col).withColumn(
-        "n_words", F.size(_words("sentence"))
-    ).filter("n_words > 0")
-    terms = parts.select(key, "pos", F.explode(_words("sentence")).alias("word")).filter(
-        F.length("word") >= 4
-    ).groupBy(key, "pos", "word").agg(F.count(F.lit(1)).alias("n_here"))
-    counts = terms.groupBy(key, "word").agg(F.sum("n_here").alias("n_all"))
-    weights = terms.join(counts, [key, "word"]).groupBy(key, "pos").agg(
-        F.sum(F.col("n_here") * F.col("n_all")).alias("weight")
-    )
-    ranked = parts.join(weights, [key, "pos"], "left").withColumn(
-        "score", F.coalesce("weight", F.lit(0)) / F.col("n_words")
-    )
-    best_first = Window.partitionBy(key).orderBy(F.desc("score"), "pos")
-    upto = F.sum("n_words").over(best_first)
-    taken = ranked.withColumn("upto", upto).filter(
-        (F.col("upto") <= max_words) | (F.col("upto") - F.col("n_words") < min_summary)
-    )
-    joined = taken.groupBy(key).agg(
-        F.array_join(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("pos", "sentence"))), lambda s: s["sentence"]
-            ), " ",
-        ).alias("text")
+    chosen = spread_if_small(worth_summarising(content, min_words, col).select(key, col))
+    scored = F.transform(
+        _sentences(col),
+        lambda s, i: F.struct(
+            (-F.coalesce(F.try_element_at("weights", i), F.lit(0)) / F.size(_words(s))).alias("rank"),
+            i.alias("pos"), F.size(_words(s)).alias("n"), s.alias("sentence"),
+        ),
     )
-    kept = F.slice(F.filter(F.split("text", r"\s+"), lambda w: w != ""), 1, max_words)
-    return joined.select(key, F.array_join(kept, " ").alias("summary"))
+    best_first = F.sort_array(F.filter(scored, lambda s: s["n"] > 0))
+    start = F.struct(F.lit(0).alias("words"), F.lit(0).alias("taken"))
+
+    def take(state: Column, s: Column) -> Column:
+        upto = state["words"] + s["n"]
+        fits = (upto <= max_words) | (state["words"] < min_summary)
+        return F.struct(upto.alias("words"), (state["taken"] + fits.cast("int")).alias("taken"))
+
+    rows = chosen.join(sentence_weights(chosen, key, col), key, "left").withColumn(
+        "weights", F.coalesce("weights", F.create_map().cast("map<int,bigint>"))
+    ).select(key, best_first.alias("best"))
+    # Totals only grow along the ranking, so the taken sentences are its first ones.
+    n_taken = F.aggregate("best", start, take)["taken"]
+    taken = F.slice("best", F.lit(1), n_taken)
+    in_order = F.array_sort(taken, lambda a, b: a["pos"] - b["pos"])
+    text = F.array_join(F.transform(in_order, lambda s: s["sentence"]), " ")
+    kept = F.slice(F.filter(F.split(text, r"\s+"), lambda w: w != ""), 1, max_words)
+    return rows.select(key, F.array_join(kept, " ").alias("summary"))
 
 
 def summarise_with(content: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]],
