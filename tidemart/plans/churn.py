@@ -167,8 +167,8 @@ def _persons(t: Star) -> DataFrame:
 def purchase_cells(t: Star) -> DataFrame:
     """Item counts per (person, product, seller).
 
-    The cells feed several tables. Filtering the product here, where every user of the cells
-    would, keeps their plans equal, so Spark computes the cells once.
+    Several tables start here. The product filter, which their joins imply anyway, keeps the
+    plans equal, so Spark computes the cells once.
     """
     return (
         t.items.select("customer_key", "product_key", "seller_key")
@@ -179,25 +179,52 @@ def purchase_cells(t: Star) -> DataFrame:
     )
 
 
-def product_diversity_unique(t: Star) -> DataFrame:
-    """Distinct counts and concentration over (category, product, seller) cells.
+def _seller_spread(t: Star) -> DataFrame:
+    """Per person: distinct sellers and the concentration over (category, product, seller).
 
     The sum of squared shares is the sum of squared counts over the squared total, so no
-    window over a person's cells is needed.
+    window over a person's cells is needed. Distinct values are counted by grouping once more
+    instead of several distinct counts in one grouping, which would copy every row.
     """
-    cells = purchase_cells(t).join(
-        t.products.select("product_key", "product_category_name"), "product_key"
+    n = F.col("n")
+    known = purchase_cells(t).join(t.products.select("product_key"), "product_key", "left_semi")
+    per_seller = known.groupBy("customer_unique_id", "seller_key").agg(
+        F.sum(n).alias("n"), F.sum(n * n).alias("squares")
     )
-    return cells.groupBy("customer_unique_id").agg(
-        F.countDistinct("product_category_name").alias("distinct_categories"),
-        F.countDistinct("product_key").alias("distinct_products"),
-        F.countDistinct("seller_key").alias("distinct_sellers"),
-        sixth(
-            mean_of(F.sum(F.col("n") * F.col("n")), F.pow(F.sum("n").cast("double"), F.lit(2)))
-        ).alias("category_concentration"),
+    return per_seller.groupBy("customer_unique_id").agg(
+        F.count("seller_key").alias("distinct_sellers"),
+        sixth(mean_of(F.sum("squares"), F.pow(F.sum("n").cast("double"), F.lit(2)))).alias(
+            "category_concentration"
+        ),
     )
 
 
+def _product_spread(t: Star) -> DataFrame:
+    """Per person: distinct categories and products, and the most bought product."""
+    listed = t.products.select("product_key", "product_category_name", F.lit(1).alias("listed"))
+    per_product = (
+        purchase_cells(t)
+        .groupBy("customer_unique_id", "product_key")
+        .agg(F.sum("n").alias("n"))
+        .join(listed, "product_key", "left")
+    )
+    best = F.struct((-F.col("n")).alias("rank"), F.col("product_key").alias("value"))
+    per_category = per_product.groupBy("customer_unique_id", "product_category_name").agg(
+        F.sum("listed").alias("n_products"), F.min(best).alias("best")
+    )
+    return per_category.groupBy("customer_unique_id").agg(
+        F.count("product_category_name").alias("distinct_categories"),
+        F.sum("n_products").alias("distinct_products"),
+        F.min("best")["value"].alias("most_purchased_product"),
+    )
+
+
+def product_diversity_unique(t: Star) -> DataFrame:
+    """Distinct counts and concentration over (category, product, seller) cells."""
+    products = _product_spread(t).drop("most_purchased_product")
+    return products.join(_seller_spread(t), "customer_unique_id")
+
+
 def category_concentration_dedup(t: Star) -> DataFrame:
     """Concentration over categories proper, one share per category."""
     per_category = (
@@ -214,14 +241,7 @@ def category_concentration_dedup(t: Star) -> DataFrame:
 
 
 def top_product_unique(t: Star) -> DataFrame:
-    per_product = (
-        purchase_cells(t)
-        .groupBy("customer_unique_id", "product_key")
-        .agg(F.sum("n").alias("n"))
-    )
-    return per_product.groupBy("customer_unique_id").agg(
-        chosen_by(F.col("n"), F.col("product_key")).alias("most_purchased_product")
-    )
+    return _product_spread(t).select("customer_unique_id", "most_purchased_product")
 
 
 def top_payment_unique(t: Star) -> DataFrame:
@@ -286,8 +306,7 @@ _FROM_PERSON = [
 def _assemble(t: Star, keys: DataFrame, extra_keys: list[str], aggregated: list[Column],
               threshold_days: int) -> DataFrame:
     person = [
-        product_diversity_unique(t), top_product_unique(t), top_payment_unique(t),
-        review_detail_unique(t),
+        _product_spread(t), _seller_spread(t), top_payment_unique(t), review_detail_unique(t),
     ]
     rows = (
         keys.join(current_customers(t), "customer_key")
@@ -296,6 +315,11 @@ def _assemble(t: Star, keys: DataFrame, extra_keys: list[str], aggregated: list[
     )
     for part in person:
         rows = rows.join(part, "customer_unique_id", "left")
+    # Without a listed product there is no diversity row: its counts are null, not 0.
+    has_listed = F.col("distinct_products").isNotNull()
+    rows = rows.withColumn(
+        "distinct_categories", F.when(has_listed, F.col("distinct_categories"))
+    )
     grouped = rows.groupBy("customer_unique_id", *extra_keys, *_FROM_PERSON).agg(
         F.max("last_purchase_date").alias("last"),
         F.min("first_purchase_date").alias("first"),
