@@ -4,6 +4,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tidemart.learn import balance, content_model, evaluate, models, prep, recommend, search
+from tidemart.operators.numbering import dense_ids
 from tidemart.session import written
 
 
@@ -156,7 +157,7 @@ def _rating_rows(spark, seed=1):
 
 
 def test_dense_ids_have_no_gaps(spark):
-    ids = recommend.dense_ids(spark.range(100).repartition(5), "id").collect()
+    ids = dense_ids(spark.range(100).repartition(5), "id").collect()
     assert sorted(r["idx"] for r in ids) == list(range(100))
 
 
@@ -182,3 +183,47 @@ def test_repeated_rows_follow_weights(spark):
     assert got == {"a": 1, "b": 3}
     hot = spark.createDataFrame([("a", 1), ("b", 10**6)], "k string, w int")
     assert content_model.repeated(hot, "w").count() <= 21
+
+
+def test_churn_tuner_end_to_end(spark, small, tmp_path):
+    from tidemart.learn.tuner import ChurnTuner
+    from tidemart.plans.churn import churn_features
+
+    df = written(search.row_identity(churn_features(small)), "tuner")
+    train, test = prep.split(df, 0.8, 42, "customer_id")
+    tuner = ChurnTuner(
+        "tree", models.decision_tree, space=search.TREE_SPACE, trials=2, folds=2
+    ).fit_discrete(train, test)
+    log = tuner.evaluate_train_test()
+    assert {"validation", "train", "test"} <= {r["params"] for r in log.collect()}
+    assert tuner.confusion_matrix().agg(F.sum("n")).first()[0] == test.count()
+    assert tuner.feature_importance().count() == len(tuner.data.prep.names)
+    tuner.save(str(tmp_path / "model"))
+    again = prep.ChurnPrep.load(spark, str(tmp_path / "model" / "prep"))
+    assert again.params == tuner.data.prep.params
+
+
+def test_rating_tuner_keeps_the_best(spark):
+    from tidemart.learn.tuner import RatingTuner
+
+    ratings = written(_rating_rows(spark), "rt")
+    train, test = recommend.rating_split(ratings)
+    grid = [{"rank": 1, "rounds": 1}, {"rank": 4, "rounds": 10}]
+    tuner = RatingTuner("nmf", recommend.fit_nmf, grid).run(train, test, ratings)
+    rmse = [s["rmse"] for s in tuner.scores]
+    assert tuner.best == grid[rmse.index(min(rmse))] and tuner.log(spark).count() == 4
+
+
+def test_content_model_learns_and_reloads(spark, small, tmp_path):
+    from tidemart.plans import content
+
+    labels = written(content.satisfaction_labels(small), "labels")
+    model = content_model.fit_content(
+        written(content.customer_content_features(small), "people"),
+        written(content.product_content_features(small), "goods"), labels, factors=4, rounds=5,
+    )
+    scored = model.predict(labels).orderBy("customer_unique_id", "product_key").limit(20)
+    model.save(str(tmp_path / "content"))
+    again = content_model.ContentModel.load(spark, str(tmp_path / "content"))
+    same = again.predict(labels).orderBy("customer_unique_id", "product_key").limit(20)
+    assert [r["prediction"] for r in scored.collect()] == [r["prediction"] for r in same.collect()]

@@ -25,6 +25,21 @@ def test_quantiles_match_numpy_for_many_sizes(spark):
             assert got[p] == pytest.approx(float(np.quantile(values, p))), (n, p)
 
 
+def test_quantiles_narrow_large_columns(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW", 20)
+    rng = random.Random(4)
+    for values in (
+        [rng.gauss(0, 1) for _ in range(4000)],
+        [float(rng.randrange(3)) for _ in range(3000)],
+        [1.0] * 500 + [rng.random() for _ in range(500)],
+    ):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        probs = [0.0, 0.01, 0.333, 0.5, 0.75, 0.999, 1.0]
+        got = quantiles.exact_quantiles(df, {"x": probs})["x"]
+        for p in probs:
+            assert got[p] == pytest.approx(float(np.quantile(values, p))), p
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([], "x double")
     assert quantiles.medians(df, ["x"]) == {"x": None}

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import FMRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.learn.prep import (
     MISSING, auto_feature_types, fill_by_type, scale_values, scaled,
 )
+from tidemart.operators.numbering import dense_ids
 from tidemart.operators.relational import broadcast_if_small, union_vocabulary
 from tidemart.session import checkpoint_ready, written
 
@@ -22,10 +23,8 @@ HISTORY = "purchase_category_history"
 
 def vocabulary(frames: Sequence[DataFrame], col: str) -> DataFrame:
     """(value, code): distinct values of a column shared by the frames, numbered in order."""
-    values = union_vocabulary([f for f in frames if col in f.columns], col).select(
-        F.col(col).alias("value")
-    )
-    return values.withColumn("code", F.row_number().over(Window.orderBy("value")) - 1)
+    values = union_vocabulary([f for f in frames if col in f.columns], col)
+    return dense_ids(values.na.drop(), col, ordered=True).toDF("value", "code")
 
 
 def label_encoded(df: DataFrame, col: str, codes: DataFrame) -> DataFrame:

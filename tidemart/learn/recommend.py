@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.scalars import ratio
 from tidemart.learn.prep import split
 from tidemart.operators import cooccurrence
+from tidemart.operators.numbering import dense_ids
 from tidemart.plans.collaborative import RATING_RANGE
 from tidemart.session import checkpoint_ready, written
 
@@ -28,25 +29,6 @@ def rating_split(ratings: DataFrame, fraction: float = 0.8, seed: int = SEED):
     return split(ratings, fraction, seed, "user", "item")
 
 
-def dense_ids(df: DataFrame, col: str) -> DataFrame:
-    """(col, idx): each distinct value with a number from 0 without gaps.
-
-    Spark's own increasing ids hold the task and the position in it; adding up the task sizes
-    closes the gaps. The values are written first so the numbers cannot change.
-    """
-    base = written(
-        df.select(col).distinct().withColumn("_at", F.monotonically_increasing_id()), "ids"
-    )
-    task = F.shiftright("_at", 33)
-    sizes = base.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_from"))
-    position = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return base.withColumn("_task", task).join(F.broadcast(starts), "_task").select(
-        col, (F.col("_from") + position).cast("int").alias("idx")
-    )
-
-
 def clipped(value: Column) -> Column:
     low, high = RATING_RANGE
     return F.greatest(F.lit(low), F.least(F.lit(high), value))

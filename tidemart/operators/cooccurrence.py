@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.operators.relational import broadcast_if_small
+from tidemart.session import written
 
 HEAVY = 1000
-MOST_HEAVY = 100_000
+MOST_HEAVY = 10_000
 BLOCK = 1024
 BLOCK_RATINGS = 2_000_000
 USERS_AT_ONCE = 4096
@@ -44,7 +45,7 @@ def by_activity(ratings: DataFrame, heavy: int = HEAVY) -> Split:
         heavy = activity.agg(
             F.percentile_approx("n", 1 - MOST_HEAVY / above, F.lit(10_000)).alias("n")
         ).first()["n"]
-    busy = broadcast_if_small(activity.filter(F.col("n") > heavy).select("user"))
+    busy = broadcast_if_small(written(activity.filter(F.col("n") > heavy).select("user"), "busy"))
     return Split(
         ratings.join(busy, "user", "left_anti"), ratings.join(busy, "user", "left_semi")
     )

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.operators.relational import broadcast_if_small
+from tidemart.session import written
 
 LEAF = 2048
 FANOUT = 32
@@ -44,6 +45,8 @@ def plant(corpus: DataFrame, n: int, dim: int, seed: int, leaf: int = LEAF):
             F.percentile_approx(_project("vec", axis), probs, F.lit(1000)).alias("cuts"),
             F.max(_project("vec", axis)).alias("far"),
         ).filter(F.col("n_node") > leaf).drop("n_node")
+        # Written, the table is computed once and its true size decides on broadcasting.
+        cuts = written(cuts, "cuts")
         tables.append((axis, cuts))
         rows = _descend(rows, axis, cuts)
     return tables
@@ -77,19 +80,21 @@ def leaves(queries: DataFrame, corpus: DataFrame, n: int, dim: int, seed: int,
     """Queries and corpus with the ``cell`` in which they meet.
 
     A corpus leaf that is still too large (rows that no direction separates) is dealt into
-    parts by hash and each query goes to one part. A leaf with many queries is met in several
-    cells, each with a copy of the leaf's corpus part.
+    parts by hash and each query goes to one part. A part with many queries is met in several
+    cells, each with a copy of the part: one corpus row copied per leaf of queries, at most.
     """
     tables = plant(corpus, n, dim, seed, leaf)
     corpus, queries = _route(corpus, tables), _route(queries, tables)
 
-    def parts(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("node").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(float(leaf))).cast("int").alias(name)
-        )
+    def size(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("node").agg(F.count(F.lit(1)).alias(name))
 
-    plan = parts(corpus, "n_parts").join(parts(queries, "n_chunks"), "node")
-    plan = broadcast_if_small(plan)
+    n_parts = F.ceil(F.col("n_corpus") / F.lit(float(leaf))).cast("int")
+    n_chunks = F.ceil(F.col("n_queries") / (F.col("n_parts") * F.lit(float(leaf)))).cast("int")
+    plan = size(corpus, "n_corpus").join(size(queries, "n_queries"), "node").select(
+        "node", n_parts.alias("n_parts"), "n_queries"
+    ).select("node", "n_parts", n_chunks.alias("n_chunks"))
+    plan = broadcast_if_small(written(plan, "leaves"))
     dealt = F.pmod(F.xxhash64("id"), F.col("n_parts"))
     chunk = F.pmod(F.xxhash64("id", F.lit(1)), F.col("n_chunks"))
     cell = F.concat_ws("/", "node", F.col("part").cast("string"), F.col("chunk").cast("string"))

@@ -59,7 +59,7 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
     counts = (
         child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    known = parent.select(F.col(parent_key or key).alias(key)).distinct()
+    known = parent.select(F.col(parent_key or key).alias(key))
     return counts.join(known, key, "left_anti")
 
 
