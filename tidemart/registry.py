@@ -27,10 +27,13 @@ def over_star(name: str, plan: Callable[[Star], DataFrame], oracle: str | None =
 
 
 def rounded(frame: DataFrame) -> DataFrame:
-    """Every double column at six places."""
-    return frame.select(
-        *[sixth(frame[c]).alias(c) if kind == "double" else frame[c] for c, kind in frame.dtypes]
-    )
+    """Every double column at six places; exact decimals as double."""
+    def shown(c: str, kind: str):
+        if kind == "double":
+            return sixth(frame[c]).alias(c)
+        return frame[c].cast("double").alias(c) if kind.startswith("decimal") else frame[c]
+
+    return frame.select(*[shown(c, kind) for c, kind in frame.dtypes])
 
 
 for _name, _sql in sql_marts.MARTS.items():

@@ -14,8 +14,9 @@ from tidemart.oracle import marts as sql_marts
 from tidemart.oracle.star import star_sql
 from tidemart.plans import churn, collaborative, content, marts, text
 from tidemart.registry import over_star, rounded
+from tidemart.session import shared_dir
 from tidemart.sources import requests
-from tidemart.sources.tables import run_sql
+from tidemart.sources.tables import publish_mart, run_sql
 
 
 def _churn(body: str) -> str:
@@ -56,6 +57,22 @@ over_star("run_sql", sql_text, star_sql(
     "select product_key, count(*) as n_items, sum(price)::double as spent from s_items "
     "where price >= 50000 group by all"
 ))
+
+
+def published(t) -> DataFrame:
+    """A mart written to the shared folder, offered as a view and read by SQL."""
+    publish_mart(
+        marts.revenue_by_month(t), "published_revenue", shared_dir(t.spark, "published")
+    )
+    return run_sql(
+        t.spark, "select year, sum(revenue) as revenue from published_revenue group by year"
+    ).select("year", F.round("revenue", 2).alias("revenue"))
+
+
+over_star("publish_mart", published, star_sql(
+    "select year, round(sum(price)::double, 2) as revenue from s_items join s_orders "
+    "using (order_key) join s_dates on date_key = order_purchase_date_key group by all"
+))
 over_star("scan_reviews", lambda t: t.review_content, star_sql("select * from s_content"))
 
 _PAYLOAD_COLUMNS = ", ".join(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,16 +118,35 @@ over_star("frequency_encoder", frequency_encoder, _churn(
 
 
 def assembled(t: Star) -> DataFrame:
+    """Width and sum of every prepared feature vector."""
     df = churn_table(t)
-    ready = prep.ChurnPrep().fit(df).transform(df, "row_id")
+    ready = prep.ChurnPrep().fit(df).transform(df, "customer_id")
     values = vector_to_array("features")
     return ready.select(
-        "row_id", F.size(values).alias("width"),
+        "customer_id", F.size(values).alias("width"),
         sixth(F.aggregate(values, F.lit(0.0), lambda s, x: s + x)).alias("total"),
     )
 
 
-over_star("column_transformer", assembled)
+def _z(col: str) -> str:
+    return f"({col} - avg({col}) over ()) / coalesce(nullif(stddev_pop({col}) over (), 0), 1)"
+
+
+_SCALED = [*prep.ZERO_FILLED, *prep.MEDIAN_FILLED, *prep.PLAIN]
+over_star("column_transformer", assembled, _churn(
+    f"select customer_id, {len(_SCALED) + 1} + (select count(distinct "
+    f"coalesce({prep.ONE_HOT}, 'unknown')) from churn) as width, "
+    f"round({' + '.join(_z(c) for c in [*_SCALED, 'f'])} + 1, 6) as total from ready",
+    shares="select most_purchased_product as product, count(*)::double / sum(count(*)) over () "
+    "as share from churn where most_purchased_product is not null group by all",
+    ready="select customer_id, " + ", ".join(
+        [f"coalesce({c}, 0)::double as {c}" for c in prep.ZERO_FILLED]
+        + [f"coalesce({c}, (select median({c}) from churn))::double as {c}"
+           for c in prep.MEDIAN_FILLED]
+        + [f"{c}::double as {c}" for c in prep.PLAIN]
+    ) + ", coalesce(share, 0) as f from churn left join shares "
+    "on product = most_purchased_product",
+))
 
 
 def _kinds(t: Star, df: DataFrame, skip: list[str]) -> DataFrame:
@@ -414,6 +433,41 @@ def model_query(name: str, learner) -> None:
     over_star(name, run)
 
 
+def plain_bayes(t: Star) -> DataFrame:
+    """Naive Bayes on two raw columns of all rows, small enough to be written in SQL."""
+    df = churn_table(t).select(
+        "customer_id", F.col(prep.LABEL).cast("int").alias("label"),
+        array_to_vector(F.array(
+            F.col("customer_tenure").cast("double"), F.col("frequency_orders").cast("double")
+        )).alias("features"),
+    )
+    scored = models.GaussianNaiveBayes(1e-3).fit(df).transform(df)
+    return scored.select(
+        "customer_id", "label", F.col("prediction").cast("int").alias("prediction"),
+        sixth(F.col("score")).alias("score"),
+    )
+
+
+def _log_density(x: str, c: int) -> str:
+    return (
+        f"(-0.5 * ln(2 * pi() * (v{x}{c} + e)) - 0.5 * power({x} - m{x}{c}, 2) / (v{x}{c} + e))"
+    )
+
+
+over_star("gaussian_nb_plain", plain_bayes, _churn(
+    "select customer_id, label, case when p > 0.5 then 1 else 0 end as prediction, "
+    "round(p, 6) as score from (select *, 1 / (1 + exp(-(ln(n1 / n0)"
+    + "".join(f" + {_log_density(x, 1)} - {_log_density(x, 0)}" for x in ("a", "b"))
+    + "))) as p from points, fitted)",
+    points="select customer_id, churn_label as label, customer_tenure::double as a, "
+    "frequency_orders::double as b from churn",
+    fitted="select " + ", ".join(
+        f"avg({x}) filter (label = {c}) as m{x}{c}, var_pop({x}) filter (label = {c}) as v{x}{c}"
+        for x in ("a", "b") for c in (0, 1)
+    ) + ", (count(*) filter (label = 1))::double as n1, "
+    "(count(*) filter (label = 0))::double as n0, "
+    "0.001 * greatest(var_pop(a), var_pop(b)) as e from points",
+))
 model_query("churn_gaussian_nb", models.GaussianNaiveBayes)
 model_query("churn_pca_nb", lambda: models.Projected(models.GaussianNaiveBayes(), 10))
 model_query("churn_boosting", lambda: models.gradient_boosting(rounds=30))
@@ -679,6 +733,27 @@ def scored_candidates(t: Star) -> DataFrame:
     return scoring.score_candidates(candidate_requests(t), t.customers, goods, mean_scorer(t))
 
 
+_CANDIDATES = {
+    "goods": "select product_key from s_products where product_category_name is not null",
+    "pairs": "select distinct customer_unique_id, product_key as p from s_items "
+    "join s_customers using (customer_key)",
+    "cand": "select customer_unique_id || '-' || p as request_id, customer_unique_id, "
+    "unnest([p, p + 1, p + 2]) as product_key from pairs where p % 17 <> 0",
+    "lost": "select * from cand where product_key not in (select product_key from goods)",
+}
+
+
+def candidate_lookup(t: Star) -> DataFrame:
+    goods = t.products.filter("product_category_name is not null")
+    return scoring.candidate_rows(candidate_requests(t), t.customers, goods)
+
+
+over_star("candidate_lookup", candidate_lookup, star_sql(
+    "select request_id, customer_unique_id, product_key, true as known from cand "
+    "where request_id not in (select request_id from lost) union all "
+    "select distinct request_id, customer_unique_id, null::bigint, false from lost",
+    **_CANDIDATES,
+))
 over_star("score_candidates", scored_candidates, star_sql(
     "select request_id, customer_unique_id as customer_id, product_key, predicted_score, "
     "cast(row_number() over (partition by request_id order by predicted_score desc, product_key) "
@@ -687,12 +762,7 @@ over_star("score_candidates", scored_candidates, star_sql(
     "left join giving using (customer_unique_id)) "
     "where request_id not in (select request_id from lost) union all "
     "select distinct request_id, customer_unique_id, null, null, null from lost",
-    goods="select product_key from s_products where product_category_name is not null",
-    pairs="select distinct customer_unique_id, product_key as p from s_items "
-    "join s_customers using (customer_key)",
-    cand="select customer_unique_id || '-' || p as request_id, customer_unique_id, "
-    "unnest([p, p + 1, p + 2]) as product_key from pairs where p % 17 <> 0",
-    lost="select * from cand where product_key not in (select product_key from goods)",
+    **_CANDIDATES,
     liking="select product_key, sum(score)::double / count(score) as liked from s_items "
     "join s_reviews using (order_key) group by all",
     giving="select customer_unique_id, sum(score)::double / count(score) as given from s_reviews "
