@@ -173,8 +173,10 @@ def test_factor_models_beat_the_mean(spark, fit):
 
 
 def test_top_k_per_user(spark):
-    got = recommend.fit_nmf(written(_rating_rows(spark), "r"), rank=4, rounds=5).recommend(3)
-    assert got.groupBy("user").count().filter("count <> 3").count() == 0
+    model = recommend.fit_nmf(written(_rating_rows(spark), "r"), rank=4, rounds=5)
+    assert model.recommend(3).groupBy("user").count().filter("count <> 3").count() == 0
+    two = spark.createDataFrame([("u1",), ("u2",)], "user string")
+    assert {r["user"] for r in model.recommend(3, two).collect()} == {"u1", "u2"}
 
 
 def test_repeated_rows_follow_weights(spark):

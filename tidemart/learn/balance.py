@@ -18,11 +18,12 @@ def class_counts(df: DataFrame, label: str) -> dict[int, int]:
     }
 
 
-def _copies(minority: DataFrame, wanted: int, n: int, seed: int, row_id: str) -> DataFrame:
+def _copies(rows: DataFrame, ids: DataFrame, wanted: int, n: int, seed: int, row_id: str
+            ) -> DataFrame:
     """Each row once per new row it must give, as column ``copy``; ``wanted`` rows in all.
 
     Every row gives the whole part; the rest falls on the rows with the lowest hash, found by
-    an exact quantile.
+    an exact quantile over ``ids``, the same rows without what is costly to compute.
     """
     whole, rest = divmod(wanted, n)
     place = surrogate_key(F.lit(str(seed)), row_id).cast("double")
@@ -30,9 +31,9 @@ def _copies(minority: DataFrame, wanted: int, n: int, seed: int, row_id: str) ->
     if rest:
         p = 0.0 if n == 1 else (rest - 1) / (n - 1)
         # A hair above the rank, so that rounding cannot fall below it.
-        edge = exact_quantiles(minority.select(place.alias("p")), {"p": [p]})["p"][p]
+        edge = exact_quantiles(ids.select(place.alias("p")), {"p": [p]})["p"][p]
         extra = F.when(place <= edge * (1 + 1e-12), 1).otherwise(0)
-    given = minority.withColumn("_times", F.lit(whole) + extra).filter("_times > 0")
+    given = rows.withColumn("_times", F.lit(whole) + extra).filter("_times > 0")
     return given.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
 
 
@@ -41,7 +42,7 @@ def random_oversample(df: DataFrame, label: str, row_id: str, seed: int = 42) ->
     counts = class_counts(df, label)
     small, large = min(counts, key=counts.get), max(counts, key=counts.get)
     minority = df.filter(F.col(label) == small)
-    more = _copies(minority, counts[large] - counts[small], counts[small], seed, row_id)
+    more = _copies(minority, minority, counts[large] - counts[small], counts[small], seed, row_id)
     fresh = more.withColumn(row_id, F.xxhash64(row_id, "copy")).drop("copy")
     return df.withColumn("synthetic", F.lit(False)).unionByName(
         fresh.withColumn("synthetic", F.lit(True))
@@ -69,7 +70,7 @@ def smote(df: DataFrame, label: str, row_id: str, k: int = 5, seed: int = 42) ->
     )
     dim = len(minority.first()["vec"])
     near = nearest(minority, neighbour_count(n, k), n, dim, seed)
-    starts = _copies(near, wanted, n, seed, "id")
+    starts = _copies(near, minority, wanted, n, seed, "id")
     pick = F.floor(hash_unit(seed + 1, "id", "copy") * F.size("neighbours")).cast("int")
     other = F.get("neighbours", pick)["v"]
     gap = hash_unit(seed + 2, "id", "copy")

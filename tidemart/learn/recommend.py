@@ -92,9 +92,17 @@ class FactorModel:
             "bias", "dot"
         )
 
-    def recommend(self, k: int) -> DataFrame:
-        """(user, item, score, rank): the ``k`` best items of every user."""
-        lists = self.als.recommendForAllUsers(k)
+    def recommend(self, k: int, users: DataFrame | None = None) -> DataFrame:
+        """(user, item, score, rank): the ``k`` best items of every user, or of ``users``.
+
+        Every asked user is scored against every item, block by block; on large catalogues
+        ask for the users that need a list.
+        """
+        if users is None:
+            lists = self.als.recommendForAllUsers(k)
+        else:
+            asked = users.select("user").distinct().join(self.users, "user")
+            lists = self.als.recommendForUserSubset(asked.select(F.col("idx").alias("u")), k)
         rows = lists.select(
             F.col("u"), F.posexplode("recommendations").alias("place", "rec")
         ).select("u", (F.col("place") + 1).alias("rank"), "rec.i", F.col("rec.rating").alias("score"))

@@ -28,8 +28,9 @@ def _churn(body: str) -> str:
 
 def lookup_region(t) -> DataFrame:
     """Customers per region through two lookups."""
+    region = relational.broadcast_if_small(t.raw("region"))
     states = t.raw("nation").join(
-        F.broadcast(t.raw("region")), F.col("n_regionkey") == F.col("r_regionkey")
+        region, F.col("n_regionkey") == F.col("r_regionkey")
     ).select(F.col("n_name").alias("customer_state"), F.col("r_name").alias("region"))
     return relational.lookup(t.customers, states, "customer_state").groupBy("region").agg(
         F.count(F.lit(1)).alias("n_customers")

@@ -826,9 +826,11 @@ over_star("content_score_candidates", content_candidates)
 
 
 def _versions(t: Star):
-    parts = t.raw("part").select(F.col("p_brand").alias("name"), "p_size", "p_partkey")
+    """Brands stand in for models: the largest size of any part is the current version, the
+    largest size of a standard part the released one."""
+    parts = t.raw("part").select(F.col("p_brand").alias("name"), "p_size", "p_type")
     current = parts.groupBy("name").agg(F.max("p_size").alias("version"))
-    released = parts.filter("p_partkey % 3 = 0 and p_size < 49").groupBy("name").agg(
+    released = parts.filter("p_type = 'STANDARD'").groupBy("name").agg(
         F.max("p_size").alias("version")
     )
     return current, released
@@ -837,7 +839,7 @@ def _versions(t: Star):
 _VERSIONS = {
     "cur": "select p_brand as name, max(p_size) as version from part group by all",
     "rel": "select p_brand as name, max(p_size) as version from part "
-    "where p_partkey % 3 = 0 and p_size < 49 group by all",
+    "where p_type = 'STANDARD' group by all",
 }
 over_star("scd_version_diff", lambda t: scoring.scd_version_diff(*_versions(t)), star_sql(
     "select name, cur.version, coalesce(rel.version, 0) as last_version from cur "

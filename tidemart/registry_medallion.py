@@ -215,8 +215,37 @@ over_star(
         log=_LOG, versions=_history_sql(_daily_sql()),
     ),
 )
-over_star("gold_date_dim", lambda t: t.dates, star_sql("select * from s_dates"))
-over_star("gold_time_dim", lambda t: t.times, star_sql("select * from s_times"))
+
+
+def gold_dates(t) -> DataFrame:
+    """Every calendar day with the orders placed on it."""
+    placed = t.orders.groupBy(F.col("order_purchase_date_key").alias("date_key")).agg(
+        F.count(F.lit(1)).alias("n_orders")
+    )
+    return t.dates.join(placed, "date_key", "left").select(
+        *t.dates.columns, F.coalesce("n_orders", F.lit(0)).alias("n_orders")
+    )
+
+
+def gold_times(t) -> DataFrame:
+    """Every second of the day that saw an order, with its bucket and order count."""
+    clock = F.broadcast(t.times.withColumnRenamed("time_key", "order_purchase_time_key"))
+    return t.orders.groupBy("order_purchase_time_key").agg(
+        F.count(F.lit(1)).alias("n_orders")
+    ).join(clock, "order_purchase_time_key").select(
+        F.col("order_purchase_time_key").alias("time_key"), "time_of_day_bucket", "full_time",
+        "n_orders",
+    )
+
+
+over_star("gold_date_dim", gold_dates, star_sql(
+    "select s_dates.*, count(order_key) as n_orders from s_dates left join s_orders "
+    "on date_key = order_purchase_date_key group by all"
+))
+over_star("gold_time_dim", gold_times, star_sql(
+    "select time_key, time_of_day_bucket, full_time, count(*) as n_orders from s_times "
+    "join s_orders on time_key = order_purchase_time_key group by all"
+))
 over_star(
     "surrogate_keys",
     lambda t: t.customers.select("customer_key", surrogate_key("customer_unique_id").alias("sk")),

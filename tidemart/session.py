@@ -25,11 +25,27 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(app: str = "tidemart", master: str | None = None, **conf: str) -> SparkSession:
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Shuffle settings for an input of this size.
+
+    Partitions start at about 128 MB of input each, so that a task fits in memory without
+    spilling much; adaptive execution merges those that come out small.
+    """
+    partitions = min(max(200, input_bytes // (128 << 20)), 200_000)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m" if input_bytes >= 1 << 40 else "128m",
+    }
+
+
+def build_session(app: str = "tidemart", master: str | None = None,
+                  input_bytes: int | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**_RUNTIME, **conf}.items():
+    sized = sized_for(input_bytes) if input_bytes else {}
+    for key, value in {**_RUNTIME, **sized, **conf}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 
