@@ -203,7 +203,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows with lang_pred and score added; rejected rows are those with `und`."""
+    """The rows with lang_pred and score added, in place of columns of these names.
+
+    Rejected rows are those with `und`.
+    """
     @F.pandas_udf("lang_pred string, score double")
     def label(texts: pd.Series) -> pd.DataFrame:
         array = pa.array(texts.tolist(), pa.string())
@@ -217,7 +220,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             "score": np.where(empty, 0.0, score)})
 
     rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.withColumn("_label", label(F.col(text_col))).select(*rest, "_label.*")
+    return docs.withColumn("__label", label(F.col(text_col))).select(*rest, "__label.*")
 
 
 def remainder(id_col: str, of: int) -> Column:

@@ -131,6 +131,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The documents themselves, each as often as the mix takes it; rows with one id fare alike."""
+    copies = written(mix(docs, id_col, **options).groupBy(F.col("doc_id").alias("__mix_id")).agg(
+        F.max("copies").alias("__copies")).where("__copies > 0"), "mix-copies")
+    return docs.join(broadcast_if_small(copies), F.col(id_col).eqNullSafe(F.col("__mix_id"))).withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")

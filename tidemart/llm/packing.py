@@ -1,7 +1,7 @@
 """Packing token sequences by Karmarkar-Karp multiway differencing.
 
 Each task tokenizes its own texts and packs them as they come, so nothing is shuffled. Whole
-windows are cut from long documents. What is left goes to pools of about GROUP windows: the pieces
+windows are cut from long documents. What is left goes to pools of GROUP windows: the pieces
 of a pool start as partial partitions with one loaded window each; the two with the largest spread
 are merged again and again, the fullest windows of one onto the emptiest of the other, until one
 partition is left, whose windows are nearly equal. If a window exceeds the capacity, the pool is
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,11 @@ from tidemart.llm.common import chunks, table
 
 CAPACITY = 4096
 #: Windows per pool, and the part of them that a pool fills.
-GROUP, FILL = 48, 0.994
+GROUP, FILL = 256, 0.998
 END = 2
 #: Words remembered per worker before starting over.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 21
+RUNS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 class WordIds:
@@ -45,6 +47,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.model = Tokenizer(self.tokenizer.model)
         self.clear()
 
     def clear(self) -> None:
@@ -54,8 +57,30 @@ class WordIds:
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word. Printable ASCII without an apostrophe skips the normalizer: lower-cased
+        and cut into letters, single digits and the rest, it goes to the same model."""
+        made: list = [None] * len(words)
+        plain, runs, hard = [], [], []
+        for i, w in enumerate(words):
+            if w.isascii() and w.isprintable() and "'" not in w:
+                cut = RUNS.findall(w.lower())
+                plain.append((i, len(cut)))
+                runs += cut
+            else:
+                hard.append(i)
+        for i, e in zip(hard, self.tokenizer.encode_batch_fast(
+                [words[i] for i in hard], add_special_tokens=False)):
+            made[i] = e.ids
+        ids = [e.ids for e in self.model.encode_batch_fast(runs, add_special_tokens=False)]
+        at = 0
+        for i, n in plain:
+            made[i] = ids[at] if n == 1 else [x for one in ids[at:at + n] for x in one]
+            at += n
+        return made
+
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        made = self._encoded(words)
         length = np.fromiter(map(len, made), np.int64, len(made))
         flat = np.fromiter((i for ids in made for i in ids), np.uint32, int(length.sum()))
         if self.used + len(flat) > len(self.pool):
@@ -110,25 +135,36 @@ def tokenized(texts: pa.Array, words: WordIds, end: int = END):
         yield last, np.concatenate([*held, np.array([end], np.uint32)])
 
 
-def differenced(sizes: list[int], windows: int) -> list[list[int]]:
-    """Items dealt to windows by multiway differencing."""
-    heap = []
+def differenced(sizes: list[int], windows: int) -> np.ndarray:
+    """The window of each item by multiway differencing."""
+    heap, merges = [], []
     for i, size in enumerate(sizes):
         loads = np.zeros(windows, np.int64)
         loads[-1] = size
-        heap.append((-size, i, loads, [*([] for _ in range(windows - 1)), [i]]))
+        heap.append((-size, i, loads))
     heapq.heapify(heap)
-    made = len(heap)
     while len(heap) > 1:
-        _, _, a, in_a = heapq.heappop(heap)
-        _, _, b, in_b = heapq.heappop(heap)
+        _, i, a = heapq.heappop(heap)
+        _, j, b = heapq.heappop(heap)
         loads = a + b[::-1]
         order = np.argsort(loads, kind="stable")
         loads = loads[order]
-        both = [x + y if x and y else x or y for x, y in zip(in_a, in_b[::-1])]
-        heapq.heappush(heap, (-int(loads[-1] - loads[0]), made, loads - loads[0], [both[k] for k in order]))
-        made += 1
-    return heap[0][3] if heap else []
+        heapq.heappush(heap, (int(loads[0] - loads[-1]), len(sizes) + len(merges), loads - loads[0]))
+        merges.append((i, j, order))
+    # Back from the last partition: each slot's window goes to the slots it was merged from.
+    slots = {len(sizes) + len(merges) - 1: np.arange(windows)}
+    for k in range(len(merges) - 1, -1, -1):
+        i, j, order = merges[k]
+        own = slots.pop(len(sizes) + k)
+        for child, place in ((i, order), (j, windows - 1 - order)):
+            if child < len(sizes):
+                slots[child] = own[place == windows - 1][0]
+            else:
+                slots[child] = np.empty(windows, np.int64)
+                slots[child][place] = own
+    if len(sizes) == 1:
+        return np.zeros(1, np.int64)
+    return np.array([slots[i] for i in range(len(sizes))], np.int64)
 
 
 def windows_of(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
@@ -136,8 +172,9 @@ def windows_of(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     windows = max(1, -(-sum(sizes) // capacity))
     while True:
         dealt = differenced(sizes, windows)
-        if all(sum(sizes[i] for i in w) <= capacity for w in dealt):
-            return [w for w in dealt if w]
+        if np.bincount(dealt, sizes).max() <= capacity:
+            order = np.argsort(dealt, kind="stable")
+            return [w.tolist() for w in np.split(order, np.flatnonzero(np.diff(dealt[order])) + 1)]
         windows += 1
 
 

@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from tidemart.llm.language import op8_language
 from tidemart.llm.mixing import OP5_SQL, op5_mix
+from tidemart.llm.ngrams import op9_ngrams
 from tidemart.llm.packing import op3_pack
 from tidemart.llm.quality import op2_quality
+from tidemart.llm.search import OP7_SQL, op7_search
 from tidemart.llm.secrets import op10_secrets
 from tidemart.llm.sharding import op6_shard
+from tidemart.llm.simhash import op1_simhash
+from tidemart.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
     "op3_pack": op3_pack,
+    "op4_warc": op4_warc,
     "op5_mix": op5_mix,
     "op6_shard": op6_shard,
+    "op7_search": op7_search,
     "op8_language": op8_language,
+    "op9_ngrams": op9_ngrams,
     "op10_secrets": op10_secrets,
 }
 
-ORACLES = {"op5_mix": OP5_SQL}
+ORACLES = {"op4_warc": OP4_SQL, "op5_mix": OP5_SQL, "op7_search": OP7_SQL}

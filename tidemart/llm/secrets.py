@@ -163,15 +163,15 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spans = written(
         scan(docs, id_col, text_col, owner_col, repo_col).where(F.col("spans") != "")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_hash"))
-        .agg(F.first("spans").alias("_spans")), "secret-spans")
+        .groupBy(F.col("doc_id").alias("__span_id"), F.col("_text_hash").alias("__span_hash"))
+        .agg(F.first("spans").alias("__spans")), "secret-spans")
     without = F.udf(_without, "string")  # runs on the few rows with spans only
     found = docs.join(
         broadcast_if_small(spans),
-        F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")), "left")
+        F.col(id_col).eqNullSafe(F.col("__span_id")) & (F.xxhash64(text_col) == F.col("__span_hash")), "left")
     return found.withColumn(
-        text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(
-            without(F.col(text_col), F.col("_spans")))).select(*docs.columns)
+        text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(
+            without(F.col(text_col), F.col("__spans")))).select(*docs.columns)
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
