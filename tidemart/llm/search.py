@@ -33,8 +33,8 @@ from tidemart.session import written
 K = 5
 #: Sampled vectors and centres chosen among them; rows of a block, and queries of a chunk.
 SAMPLE, CENTRES, BLOCK, CHUNK = 512, 32, 8192, 2048
-#: Points of a leaf, most children of a node, and how much the covering radius shrinks a level.
-LEAF, CHILDREN, SHRINK = 128, 32, 0.7
+#: Points of a leaf of the data and of the queries, most children of a node, and how much the covering radius shrinks a level.
+LEAF, QUERY_LEAF, CHILDREN, SHRINK = 128, 16, 32, 0.7
 
 
 class Node:
@@ -42,7 +42,7 @@ class Node:
 
     __slots__ = ("points", "centre", "norm", "radius", "children", "worst")
 
-    def __init__(self, x: np.ndarray, points: np.ndarray):
+    def __init__(self, x: np.ndarray, points: np.ndarray, leaf: int):
         self.points = points
         self.centre = x[points].mean(0)
         away = np.sqrt(((x[points] - self.centre) ** 2).sum(1))
@@ -50,8 +50,8 @@ class Node:
         self.norm = float(np.sqrt((self.centre ** 2).sum()))
         self.children: list[Node] = []
         self.worst = -np.inf
-        if len(points) > LEAF and away.max() > 0:
-            self.children = [Node(x, p) for p in self._cover(x, points, away)]
+        if len(points) > leaf and away.max() > 0:
+            self.children = [Node(x, p, leaf) for p in self._cover(x, points, away)]
 
     def _cover(self, x: np.ndarray, points: np.ndarray, away: np.ndarray) -> list[np.ndarray]:
         """Sets around points chosen farthest first until all lie within the next radius."""
@@ -91,7 +91,8 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, d
             link(c)
         node.beat(worst)
 
-    q_root, d_root = Node(queries, np.arange(len(queries))), Node(data, np.arange(len(data)))
+    q_root = Node(queries, np.arange(len(queries)), QUERY_LEAF)
+    d_root = Node(data, np.arange(len(data)), LEAF)
     link(q_root)
 
     def bound(q: Node, d: Node) -> float:

@@ -168,7 +168,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.max(F.when(F.col("_starts"), F.col("reach"))).alias("reach"),
              F.sort_array(F.collect_list(F.struct("_o", "bytes"))).alias("all"))  # one record's pieces
         .select((F.col("reach") - len(MAGIC)).cast("int").alias("length"), F.aggregate(
-            F.slice("all", 2, F.lit(2147483647)), F.get("all", F.lit(0))["bytes"],
+            F.slice("all", F.lit(2), F.size("all")), F.get("all", F.lit(0))["bytes"],
             lambda a, x: F.concat(a, F.lit(MAGIC).cast("binary"), x["bytes"])).alias("bytes"))
     )
 
