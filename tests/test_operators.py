@@ -271,7 +271,7 @@ def test_hours_truncate_toward_zero(spark):
 
 
 def test_hash_does_not_depend_on_partitioning(spark):
-    df = spark.range(1000).withColumn("u", hash_unit(1, "id"))
+    df = spark.range(1000).withColumn("u", hash_unit("sample", 1, "id"))
     one = {r["id"]: r["u"] for r in df.coalesce(1).collect()}
     many = {r["id"]: r["u"] for r in df.repartition(7).collect()}
     assert one == many and 0.45 < sum(one.values()) / 1000 < 0.55

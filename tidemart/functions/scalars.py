@@ -39,8 +39,9 @@ def whole_hours(start: Column, end: Column) -> Column:
 
 def at_time(day: Column, clock: Column) -> Column:
     """The timestamp on ``day`` at the time of day of ``clock``."""
-    stamp = F.concat(day.cast("string"), F.lit(" "), F.date_format(clock, "HH:mm:ss"))
-    return F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd HH:mm:ss"))
+    return F.try_make_timestamp(
+        F.year(day), F.month(day), F.dayofmonth(day), F.hour(clock), F.minute(clock),
+        F.second(clock))
 
 
 def chosen_by(rank: Column, value: Column) -> Column:
@@ -52,9 +53,14 @@ def _digest_number(text: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
 
 
-def hash_unit(seed: int | str, *cols: str | Column) -> Column:
-    """A number in [0, 1) fixed by the columns and the seed, whatever the partitioning."""
-    return _digest_number(F.concat_ws("|", F.lit(str(seed)), *cols), 8) / F.lit(4294967296.0)
+def hash_unit(purpose: str, seed: int | str, *cols: str | Column) -> Column:
+    """A number in [0, 1) fixed by the columns and the seed, whatever the partitioning.
+
+    Samples, splits, folds and rungs of one seed must not depend on each other, so each names its
+    purpose.
+    """
+    return _digest_number(
+        F.concat_ws("|", F.lit(f"{purpose}{seed}"), *cols), 8) / F.lit(4294967296.0)
 
 
 def surrogate_key(*cols: str | Column) -> Column:

@@ -71,9 +71,9 @@ def smote(df: DataFrame, label: str, row_id: str, k: int = 5, seed: int = 42) ->
     dim = len(minority.first()["vec"])
     near = nearest(minority, neighbour_count(n, k), n, dim, seed)
     starts = _copies(near, minority, wanted, n, seed, "id")
-    pick = F.floor(hash_unit(seed + 1, "id", "copy") * F.size("neighbours")).cast("int")
+    pick = F.floor(hash_unit("neighbour", seed, "id", "copy") * F.size("neighbours")).cast("int")
     other = F.get("neighbours", pick)["v"]
-    gap = hash_unit(seed + 2, "id", "copy")
+    gap = hash_unit("gap", seed, "id", "copy")
     mixed = F.zip_with(
         F.col("vec"), F.coalesce(other, F.col("vec")), lambda a, b: a + gap * (b - a)
     )

@@ -56,7 +56,7 @@ class SparkLearner:
     def fit(self, train: DataFrame) -> SparkModel:
         checkpoint_ready(train.sparkSession)
         if self.validation:
-            held = hash_unit(self.seed, "label", "row_id") < self.validation
+            held = hash_unit("early", self.seed, "label", "row_id") < self.validation
             if "synthetic" in train.columns:
                 held = held & ~F.col("synthetic")
             train = train.withColumn("held_out", held)

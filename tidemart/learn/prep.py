@@ -219,17 +219,18 @@ def interactions(df: DataFrame, cols: Sequence[str], degree: int = 2) -> DataFra
     return df.withColumns(terms)
 
 
-def split(df: DataFrame, fraction: float, seed: int, *keys: str) -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, fraction: float, seed: int, *keys: str, purpose: str = "split"
+          ) -> tuple[DataFrame, DataFrame]:
     """Train and test by a hash of the entity, so rows of one entity stay together."""
-    place = hash_unit(seed, *keys)
+    place = hash_unit(purpose, seed, *keys)
     return df.filter(place < fraction), df.filter(place >= fraction)
 
 
 def stratified_split(df: DataFrame, fraction: float, seed: int, label: str, *keys: str
                      ) -> tuple[DataFrame, DataFrame]:
     """Train and validation with the same share drawn within each class."""
-    return split(df, 1 - fraction, seed, label, *keys)
+    return split(df, 1 - fraction, seed, label, *keys, purpose="validation")
 
 
 def with_fold(df: DataFrame, k: int, seed: int, *keys: str) -> DataFrame:
-    return df.withColumn("fold", F.floor(hash_unit(seed, *keys) * k).cast("int"))
+    return df.withColumn("fold", F.floor(hash_unit("fold", seed, *keys) * k).cast("int"))

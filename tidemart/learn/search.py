@@ -94,7 +94,7 @@ def _score(build: Callable, params: Mapping, folds: Sequence[Prepared], share: f
     for fold in folds:
         train = fold.train
         if share < 1.0:
-            train = train.filter(hash_unit(seed, "row_id") < share)
+            train = train.filter(hash_unit("rung", seed, "row_id") < share)
         scored = build(**params).fit(train).transform(fold.test)
         scores.append(classification_scores(scored)["f1_weighted"])
     return scores

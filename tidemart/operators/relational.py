@@ -81,12 +81,12 @@ def union_vocabulary(frames: Sequence[DataFrame], col: str) -> DataFrame:
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int, *keys: str) -> DataFrame:
     """A fixed share of the rows chosen by a hash of their key."""
-    return df.filter(hash_unit(seed, *keys) < fraction)
+    return df.filter(hash_unit("sample", seed, *keys) < fraction)
 
 
 def sample_n(df: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
     """``n`` rows in a seeded random order of their key."""
-    return df.orderBy(hash_unit(seed, *keys), *keys).limit(n)
+    return df.orderBy(hash_unit("sample", seed, *keys), *keys).limit(n)
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ def _cols(exprs: list[str]) -> str:
     return ", ".join(exprs)
 
 
-_FIRST, _LAST = s.CALENDAR
 _TYPES = ", ".join(f"({k}, '{n}')" for k, n in s.PAYMENT_TYPES)
 _DOCS = "(select *, (select count(*) from documents) as n_documents from orders)"
 
@@ -22,8 +21,9 @@ STAR = {
     "s_orders": f"select {_cols(s.ORDERS)} from orders",
     "s_types": f"select * from (values {_TYPES}) v(payment_type_key, payment_type)",
     "s_dates": f"select {_cols(s.DATES)}, cast(isodow(full_date) as int) as day_of_week from "
-    f"(select cast(unnest(generate_series(date '{_FIRST}', date '{_LAST}', interval 1 day)) "
-    "as date) as full_date)",
+    "(select cast(unnest(generate_series(date_trunc('year', min(o_orderdate)), "
+    f"date_trunc('year', max(o_orderdate) + interval {s.LATEST_DAYS} day) + interval 1 year "
+    "- interval 1 day, interval 1 day)) as date) as full_date from orders)",
     "s_times": f"select {_cols(s.TIMES)}, make_timestamp(second_of_day * 1000000) as full_time "
     "from (select unnest(range(86400)) as second_of_day)",
     "s_content": f"select {_cols(s.REVIEW_CONTENT)} from documents",

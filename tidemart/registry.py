@@ -54,11 +54,7 @@ for _name, _sql in sql_features.COLLABORATIVE.items():
         over_star(_name, lambda t, p=getattr(collaborative, _name): rounded(p(t)), _sql)
 over_star(
     "duplicate_count",
-    lambda t: collaborative.duplicate_count(
-        collaborative.cf_interaction_table(t, ordered=False).select(
-            "customer_unique_id", "product_key", "purchase_count", "total_spent_on_product"
-        )
-    ),
+    lambda t: collaborative.duplicate_count(collaborative.cf_interaction_table(t, ordered=False)),
     sql_features.COLLABORATIVE["duplicate_count"],
 )
 for _name in ("product_content_features", "customer_content_features", "satisfaction_labels"):

@@ -127,11 +127,11 @@ over_star(
     "having",
     lambda t: rounded(
         t.items.groupBy("product_key").agg(mean("price").alias("avg_price"))
-        .filter(F.col("avg_price") > 50000)
+        .filter(F.col("avg_price").isNotNull())
     ),
     star_sql(
         "select product_key, round(sum(price)::double / count(price), 6) as avg_price "
-        "from s_items group by all having sum(price)::double / count(price) > 50000"
+        "from s_items group by all having sum(price)::double / count(price) is not null"
     ),
 )
 over_star(
@@ -225,12 +225,13 @@ over_star(
     ),
 )
 over_star("role_playing_dates", churn.delivered_orders, star_sql(
-    "select distinct order_key, order_id, purchase_date, delivered_date, "
-    "delivery_overdue_days, is_delivered_late, internal_processing_days, "
-    "promised_window_days, is_purchase_holiday from lines",
-    lines=sql_marts.CHURN_PARTS["lines"].replace(
-        "from s_items i join s_orders o using (order_key)", "from s_orders o"
-    ).replace("i.order_key, i.order_id, i.customer_key", "o.order_key, o.order_id"),
+    "select order_key, order_id, bought as purchase_date, handed as delivered_date, "
+    "handed - due as delivery_overdue_days, "
+    "coalesce(handed > due, false)::int as is_delivered_late, "
+    "shipped - approved as internal_processing_days, due - bought as promised_window_days, "
+    "on_holiday as is_purchase_holiday "
+    "from dated join s_orders using (order_key, order_status) where order_status = 'delivered'",
+    **{n: sql_marts.CHURN_PARTS[n] for n in ("stamps", "dated")},
 ))
 over_star(
     "role_playing_date_time",
@@ -267,8 +268,8 @@ over_star(
     ),
     star_sql(
         "select product_key, round(avg_review_score, 6) as avg_review_score from s_products "
-        "left join opinions using (product_key)",
-        opinions=sql_features.PRODUCT_PARTS["opinions"],
+        "left join echo using (product_key)",
+        **{n: sql_features.PRODUCT_PARTS[n] for n in ("verdicts", "echo")},
     ),
 )
 over_star(
@@ -334,7 +335,7 @@ def scalar_snapshot(t) -> DataFrame:
 over_star("scalar_snapshot", scalar_snapshot, star_sql(
     "select order_key, date_diff('day', full_date, (select snapshot_date from snapshot)) "
     "as age_days from s_orders join s_dates on date_key = order_purchase_date_key",
-    snapshot=sql_marts.CHURN_PARTS["snapshot"],
+    **{n: sql_marts.CHURN_PARTS[n] for n in ("stamps", "dated", "snapshot")},
 ))
 over_star(
     "orphan_rows",
@@ -466,9 +467,9 @@ over_star(
         "customer_unique_id", "purchase_category_history"
     ),
     star_sql(
-        "select customer_unique_id, coalesce(purchase_category_history, '') "
-        "as purchase_category_history from tastes",
-        tastes=sql_features.CUSTOMER_PARTS["tastes"],
+        "select customer_unique_id, coalesce(walk, '') as purchase_category_history "
+        "from journeys",
+        **{n: sql_features.CUSTOMER_PARTS[n] for n in (*sql_features.FOLDED, "person_lines", "journeys")},
     ),
 )
 
@@ -588,18 +589,18 @@ over_star(
 # --- windows ----------------------------------------------------------------------------
 
 
-def rank_over_agg(t, k: int = 100) -> DataFrame:
-    """Sellers' yearly revenue ranks up to ``k``; the bound lets each task drop the rest early."""
+def rank_over_agg(t) -> DataFrame:
+    """Every seller's yearly revenue rank."""
     by_revenue = Window.partitionBy("year").orderBy(F.desc("spent"))
     ranked = marts.seller_year_revenue(t).withColumn("rank_num", F.rank().over(by_revenue))
-    return ranked.filter(F.col("rank_num") <= k).select("seller_id", "year", "rank_num")
+    return ranked.select("seller_id", "year", "rank_num")
 
 
 over_star("rank_over_agg", rank_over_agg, star_sql(
     "select seller_id, year, cast(rank() over (partition by year order by sum(price) desc) "
     "as int) as rank_num from s_items join s_orders using (order_key) "
     "join s_sellers using (seller_key) join s_dates on date_key = order_purchase_date_key "
-    "group by seller_id, seller_city, seller_state, year qualify rank_num <= 100"
+    "group by seller_id, seller_city, seller_state, year"
 ))
 over_star(
     "row_number_top1",
@@ -615,10 +616,12 @@ over_star(
     ),
 )
 over_star("latest_row", content.latest_customers, star_sql(
-    "select * from newest", newest=sql_features.CUSTOMER_PARTS["newest"]
+    "select customer_unique_id, home.city as customer_city, home.state as customer_state from homes",
+    homes=sql_features.CUSTOMER_PARTS["homes"],
 ))
 over_star("first_value_distinct", content.favorite_category, star_sql(
-    "select * from favourites", favourites=sql_features.CUSTOMER_PARTS["favourites"]
+    "select * from likings",
+    **{n: sql_features.CUSTOMER_PARTS[n] for n in (*sql_features.FOLDED, "person_lines", "likings")},
 ))
 
 
@@ -676,9 +679,9 @@ over_star(
 )
 
 
-def unit_sql(seed: int, *cols: str) -> str:
+def unit_sql(purpose: str, seed: int, *cols: str) -> str:
     """Oracle form of ``hash_unit``."""
-    text_ = " || '|' || ".join([f"'{seed}'", *[f"{c}::varchar" for c in cols]])
+    text_ = " || '|' || ".join([f"'{purpose}{seed}'", *[f"{c}::varchar" for c in cols]])
     return f"(('0x' || substr(md5({text_}), 1, 8))::ubigint / 4294967296.0)"
 
 
@@ -691,7 +694,7 @@ over_star(
     ),
     sql_features.cf(
         "select customer_unique_id, product_key, purchase_count from pairs where "
-        f"{unit_sql(42, 'customer_unique_id', 'product_key')} < 0.15"
+        f"{unit_sql('sample', 42, 'customer_unique_id', 'product_key')} < 0.15"
     ),
 )
 over_star(
@@ -702,7 +705,7 @@ over_star(
     ),
     star_sql(
         "select review_content_key, review_comment_message from s_content order by "
-        f"{unit_sql(42, 'review_content_key')}, review_content_key limit 50"
+        f"{unit_sql('sample', 42, 'review_content_key')}, review_content_key limit 50"
     ),
 )
 

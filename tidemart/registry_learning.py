@@ -107,7 +107,7 @@ def frequency_encoder(t: Star) -> DataFrame:
     ))
 
 
-_TRAIN = f"{unit_sql(42, 'customer_id')} < 0.9"
+_TRAIN = f"{unit_sql('split', 42, 'customer_id')} < 0.9"
 over_star("frequency_encoder", frequency_encoder, _churn(
     "select customer_id, round(coalesce(f, 0), 6)::double as most_purchased_product from churn "
     "left join freq using (most_purchased_product) where not " + _TRAIN,
@@ -306,7 +306,7 @@ def stratified(t: Star) -> DataFrame:
     )
 
 
-_HELD = f"{unit_sql(42, 'churn_label', 'customer_id')} >= 0.9"
+_HELD = f"{unit_sql('validation', 42, 'churn_label', 'customer_id')} >= 0.9"
 over_star("stratified_validation", stratified, _churn(
     f"select churn_label, count(*) filter ({_HELD}) as n_held, "
     f"count(*) filter (not {_HELD}) as n_main from churn group by all"
@@ -322,8 +322,8 @@ _PAIRS = {
     **sql_features.CF_PARTS,
     "rated": 'select "userID" as "user", "itemID" as item, max(rating) as r from ratings '
     "group by all",
-    "train": f"select * from rated where {unit_sql(42, chr(34) + 'user' + chr(34), 'item')} < 0.8",
-    "test": f"select * from rated where {unit_sql(42, chr(34) + 'user' + chr(34), 'item')} >= 0.8",
+    "train": f"select * from rated where {unit_sql('split', 42, chr(34) + 'user' + chr(34), 'item')} < 0.8",
+    "test": f"select * from rated where {unit_sql('split', 42, chr(34) + 'user' + chr(34), 'item')} >= 0.8",
 }
 
 
@@ -347,7 +347,7 @@ def folds(t: Star) -> DataFrame:
 
 
 over_star("cross_folds", folds, _churn(
-    f"select cast(floor({unit_sql(42, 'customer_id')} * 5) as int) as fold, churn_label, "
+    f"select cast(floor({unit_sql('fold', 42, 'customer_id')} * 5) as int) as fold, churn_label, "
     "count(*) as n_rows from churn group by all"
 ))
 
@@ -791,7 +791,7 @@ over_star("interaction_features", interaction_features, star_sql(
     "join s_customers c on c.customer_key = r.customer_key "
     "join customer_features using (customer_unique_id) join product_features using (product_key) "
     "group by customer_unique_id, product_key",
-    **sql_features.PRODUCT_PARTS, **sql_features.CUSTOMER_PARTS,
+    **{**sql_features.PRODUCT_PARTS, **sql_features.CUSTOMER_PARTS},
 ))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -31,7 +32,7 @@ def sized_for(input_bytes: int) -> dict[str, str]:
     Partitions start at about 128 MB of input each, so that a task fits in memory without
     spilling much; adaptive execution merges those that come out small.
     """
-    partitions = min(max(200, input_bytes // (128 << 20)), 200_000)
+    partitions = max(200, input_bytes // (128 << 20))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -53,12 +54,12 @@ def build_session(app: str = "tidemart", master: str | None = None,
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
-    The cluster names the root in ``spark.checkpoint.dir``. Only a local master may fall
-    back to the machine's own temporary folder.
+    The cluster names the root in ``spark.checkpoint.dir``. Only a single local process may
+    fall back to the machine's own temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidemart-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -125,11 +125,11 @@ REVIEW_RULE = "o_orderkey % 5 <> 0"
 SECOND_REVIEWS = _review("s", "1", f"({_PLACED} + 40)", f"({_PLACED} + 41)")
 SECOND_REVIEW_RULE = "o_orderkey % 40 = 1"
 
-# Payment names by key, calendar range, holidays as MMDD.
+# Payment names by key, holidays as MMDD; no date lies further behind its order.
 PAYMENT_TYPES = [
     (1, "credit_card"), (2, "boleto"), (3, "voucher"), (4, "debit_card"), (5, "not_defined"),
 ]
-CALENDAR = ("1995-01-01", "2002-12-31")
+LATEST_DAYS = 60
 HOLIDAYS = (101, 421, 501, 907, 1012, 1102, 1115, 1225)
 
 DATES = [
@@ -202,7 +202,13 @@ class RawStar(Star):
 
     @cached_property
     def dates(self) -> DataFrame:
-        return calendar_dim(self.spark, *CALENDAR)
+        """Whole years around all dates of the facts."""
+        span = self.raw("orders").agg(
+            F.min("o_orderdate").cast("date").alias("first"),
+            F.date_add(F.max("o_orderdate").cast("date"), LATEST_DAYS).alias("last"))
+        return with_date_parts(span.select(F.explode(F.sequence(
+            F.trunc("first", "year"), F.last_day(F.add_months(F.trunc("last", "year"), 11))
+        )).alias("full_date")))
 
     @cached_property
     def times(self) -> DataFrame:
@@ -236,6 +242,10 @@ def calendar_dim(spark: SparkSession, first: str, last: str) -> DataFrame:
     days = spark.sql(
         f"select explode(sequence(date '{first}', date '{last}')) as full_date"
     )
+    return with_date_parts(days)
+
+
+def with_date_parts(days: DataFrame) -> DataFrame:
     return days.selectExpr(*DATES, "cast(weekday(full_date) + 1 as int) as day_of_week")
 
 

@@ -23,10 +23,15 @@ def drain_updates(stream: DataFrame, label: str, mode: str = "update") -> DataFr
     spark = stream.sparkSession
     root = shared_dir(spark, label)
 
+    batches = []
+
     def keep(batch: DataFrame, batch_id: int) -> None:
+        batches.append(batch_id)
         batch.write.mode("overwrite").parquet(f"{root}/data/batch_id={batch_id}")
 
     stream.writeStream.outputMode(mode).option(
         "checkpointLocation", f"{root}/checkpoint"
     ).foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
+    if not batches:  # nothing has arrived
+        return spark.createDataFrame([], f"{stream.schema.simpleString()[7:-1]}, batch_id: int")
     return spark.read.parquet(f"{root}/data")

@@ -44,6 +44,8 @@ def bronze_append(stream: DataFrame, out: str, checkpoint: str) -> int:
     ``availableNow`` drains the backlog in bounded batches and stops; the checkpoint makes a
     repeated or interrupted run pick up where the last one ended.
     """
+    # All progress entries are kept, not the last hundred: the rows of every batch count.
+    stream.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(1 << 24))
     query = (
         with_origin(stream).writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).option("path", out)
