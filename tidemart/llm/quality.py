@@ -144,3 +144,59 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _sql(alpha: float = 0.02, delta: float = 0.05) -> str:
+    """The same in DuckDB: binomial tails from log-gamma terms."""
+    rate, tests = alpha / len(RULES), sum(len(c) for _, c in RULES.values())
+    measured = {r: "case when {1} > 0 then {0}::double / {1} end".format(*m.split(" / "))
+                for r, (m, _) in RULES.items()}
+    tail = (f"case when n = 0 or k >= n * {rate} then 1 else list_sum(list_transform(range(0, k + 1), "
+            "lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) "
+            f"+ i * ln({rate}) + (n - i) * ln(1 - {rate})))) end")
+    counted = " union all ".join(
+        f"select stratum, '{r}' as rule, {c}::double as cutoff, count(*) as n, "
+        f"count(*) filter ({measured[r]} > {c}) as k from good group by stratum"
+        for r, (_, cuts) in RULES.items() for c in cuts)
+    rejected = " ".join(f"when {measured[r]} > {r}_cutoff then '{r}'" for r in RULES)
+    return f"""
+with split as (
+  select doc_id, lang as stratum, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) as lines
+  from documents
+), windows as (
+  select doc_id, unnest(range(1, len(w) - 6)) as pos,
+    unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) as gram
+  from split where len(w) >= 8
+), doubled as (
+  select doc_id, pos from windows qualify count(*) over (partition by doc_id, gram) > 1
+), covered as (
+  select doc_id, sum(least(8, coalesce(next - pos, 8)))::bigint as n_repeat_words from (
+    select doc_id, pos, lead(pos) over (partition by doc_id order by pos) as next from doubled) group by doc_id
+), counts as (
+  select doc_id, stratum, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+    length(t) - length(translate(t, '#*$%&|<>', '')) as n_symbols, len(lines) as n_lines,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words
+  from split left join covered using (doc_id)
+), judged as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from counts
+), good as (
+  select judged.* from judged join (
+    select doc_id from labels group by doc_id having min(quality) = 1) using (doc_id) where not base_failed
+), tried as (
+  select stratum, rule, cutoff, {tail} <= {delta} / ({tests} * (select count(*) from (
+    select distinct stratum from good))) as certified from ({counted})
+), cutoffs as (
+  select stratum, {", ".join(f"min(cutoff) filter (rule = '{r}' and certified) as {r}_cutoff" for r in RULES)}
+  from tried group by stratum
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and rejecting is null as kept,
+  case when base_failed then 'base' else rejecting end as rejected_by
+from (select j.*, case {rejected} end as rejecting
+      from judged j left join cutoffs c on j.stratum is not distinct from c.stratum)
+"""
+
+
+OP2_SQL = _sql()

@@ -6,7 +6,7 @@ from tidemart.llm.language import op8_language
 from tidemart.llm.mixing import OP5_SQL, op5_mix
 from tidemart.llm.ngrams import op9_ngrams
 from tidemart.llm.packing import op3_pack
-from tidemart.llm.quality import op2_quality
+from tidemart.llm.quality import OP2_SQL, op2_quality
 from tidemart.llm.search import OP7_SQL, op7_search
 from tidemart.llm.secrets import op10_secrets
 from tidemart.llm.sharding import op6_shard
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_secrets": op10_secrets,
 }
 
-ORACLES = {"op4_warc": OP4_SQL, "op5_mix": OP5_SQL, "op7_search": OP7_SQL}
+ORACLES = {"op2_quality": OP2_SQL, "op4_warc": OP4_SQL, "op5_mix": OP5_SQL, "op7_search": OP7_SQL}

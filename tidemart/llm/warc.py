@@ -212,9 +212,9 @@ OP4_SQL = """
 WITH d AS (
   SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages
 ), b AS (
-  SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, list_aggregate(
-    [ 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[CAST((('0x' || substr(hex, 5 * i + 1, 5))::BIGINT >> (15 - 5 * j)) & 31 AS INT) + 1]
-      for i in range(8) for j in range(4) ], 'string_agg', '') AS payload_digest FROM d
+  SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, array_to_string(list_transform(range(32),
+    lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(hex, 5 * (k // 4) + 1, 5) AS BIGINT)
+      >> (15 - 5 * (k % 4))) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest FROM d
 )
 SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id = min(page_id) OVER p THEN 'response' ELSE 'revisit' END AS record_type,
