@@ -6,8 +6,9 @@ short ranges. Each range's exact size is then summed; one that came out too larg
 and cut further, by id where a single text fills it, until all hold. Consecutive ranges make up a
 shard, so shards are themselves key ranges of near equal bytes.
 
-What reaches the driver is bounded by parameters: about `samples` sampled keys a round and one row
-per range. Rows are numbered within their short range only.
+Rows are numbered within their short range only, whatever the size of the table: ranges hold at
+most about a gigabyte of text. The driver gets a few sampled keys and one row per range, 1,024
+ranges up to a terabyte and one per gigabyte beyond.
 
 Defined cases: null text has size 1 and the hash and checksum of an empty text; null ids sort
 first; rows equal in text and id cannot be told apart and stay in one range; an empty table gives
@@ -27,6 +28,8 @@ from tidemart.session import written
 SHARDS = 8
 #: Ranges a shard is made of, and sampled keys per range.
 RANGES, PER_RANGE = 128, 4
+#: Most bytes of a range.
+RANGE_BYTES = 1 << 30
 LEAST = -(1 << 63)
 
 
@@ -65,8 +68,9 @@ def _quantiles(sample: list[tuple], width: float) -> list[tuple[int, int]]:
 
 def splitters(keys: DataFrame, total: int, shards: int) -> tuple[list[tuple[int, int]], list]:
     """Splitters, and (range, bytes, rows) of each range that has rows."""
-    width = max(1.0, total / (shards * RANGES))
-    found = sorted(set(_quantiles(_sample(keys, total, shards * RANGES * PER_RANGE, 0), width)))
+    ranges = max(shards * RANGES, total // RANGE_BYTES)
+    width = max(1.0, total / ranges)
+    found = sorted(set(_quantiles(_sample(keys, total, ranges * PER_RANGE, 0), width)))
     seed = 0
     while True:
         seed += 1
@@ -81,10 +85,15 @@ def splitters(keys: DataFrame, total: int, shards: int) -> tuple[list[tuple[int,
         held = sum(r["bytes"] for r in sums if r["_range"] in set(over))
         sample = _sample(inside, held, max(64, int(held / width) * PER_RANGE * 4), seed)
         more = set(_quantiles(sample, width / 2)) | {s[:2] for s in sample if s[2] > width}
-        if seed > 8:  # sampling keeps missing: cut each range in the middle of its keys
-            halves = inside.groupBy("_range").agg(F.expr(
-                "max(struct(_key, _id))").alias("top")).collect()
-            more |= {(r["top"][0], r["top"][1]) for r in halves}
+        if seed > 4:  # sampling keeps missing: cut each range at its middle key, or middle id
+            for r in inside.groupBy("_range").agg(
+                    F.min("_key").alias("low"), F.max("_key").alias("high"),
+                    F.percentile_approx("_key", 0.5).alias("mid"), F.min("_id").alias("low_id"),
+                    F.max("_id").alias("high_id"), F.percentile_approx("_id", 0.5).alias("mid_id")).collect():
+                if r["low"] < r["high"]:
+                    more.add((r["mid"] if r["mid"] > r["low"] else r["high"], LEAST))
+                else:
+                    more.add((r["low"], r["mid_id"] if r["mid_id"] > r["low_id"] else r["high_id"]))
         found = sorted(set(found) | more)
 
 
