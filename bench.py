@@ -17,7 +17,7 @@ HEADLINE = [
     "mkt_peak_purchase_times_analysis", "churn_features", "user_item_interactions",
     "product_reviews", "cf_user_features", "cf_product_features", "cf_interaction_table",
     "product_content_features", "customer_content_features", "satisfaction_labels", "dq_report",
-    "scd2_history", "event_sessions", "summarise_reviews",
+    "scd2_history", "event_sessions", "summarise_reviews", "slope_one", "knn_items",
 ]
 
 

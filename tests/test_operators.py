@@ -3,14 +3,14 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from tidemart.functions.scalars import hash_unit, whole_hours
 from tidemart.operators import cooccurrence, history, neighbours, quality, quantiles, relational
 from tidemart.plans import scoring
 from tidemart.sources import requests
-from tidemart.sources.tables import VersionedTable, publish_mart, run_sql
+from tidemart.sources.tables import publish_mart, read_version, run_sql, write_version
 from tidemart.session import shared_dir
 
 
@@ -99,18 +99,26 @@ def test_scd2_intervals_do_not_overlap(spark, small):
     assert rows.filter("end_date <= start_date").count() == 0
 
 
+def test_two_moves_on_one_day_follow_their_sequence(spark):
+    log = spark.createDataFrame(
+        [("u", "Zell", "2020-01-01", 1), ("u", "Aalen", "2020-01-01", 2), ("u", "Bonn", "2020-02-01", 3)],
+        "customer_unique_id string, city string, day string, seq int")
+    rows = history.scd2_history(log, ["customer_unique_id"], ["city"], "day", ["seq"]).orderBy("start_date")
+    assert [r["city"] for r in rows.collect()] == ["Aalen", "Bonn"]
+    rows = history.scd2_history(log, ["customer_unique_id"], ["city"], "day").orderBy("start_date")
+    assert [r["city"] for r in rows.collect()] == ["Zell", "Bonn"]
+
+
 def test_scd1_replay_and_versions(spark):
-    table = VersionedTable(spark, shared_dir(spark, "t"))
-    assert table.read() is None
+    root = shared_dir(spark, "t")
     batch = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "id string, seq int, v string")
-    for _ in range(2):
-        table.update(
-            lambda held: history.scd1_upsert(
-                batch.limit(0) if held is None else held, batch, ["id"], "seq"
-            )
-        )
-    assert [tuple(r) for r in table.read().collect()] == [("a", 2, "y")]
-    assert table.version()[0] == 2
+    held = batch.limit(0)
+    for version in (1, 2):
+        held = write_version(history.scd1_upsert(held, batch, ["id"], "seq"), root, version)
+    assert [tuple(r) for r in held.collect()] == [("a", 2, "y")]
+    assert read_version(spark, root, 1).count() == 1
+    with pytest.raises(AnalysisException):
+        write_version(batch, root, 2)
 
 
 def _brute_slope_one(ratings, asked):

@@ -1,6 +1,12 @@
 """Hand-made frames with literal expected rows for the quirks of the plans."""
 
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SMALL
+from tidemart.operators import quality
 from tidemart.plans import churn, collaborative, content, marts, text
+from tidemart.sources.star import load_star
 
 ANN = (1, "u1", "a", "X", True)
 PRODUCT = (10, "toys", 5, 10, 1, 100, 10, 2, 3)
@@ -147,3 +153,56 @@ def test_summarise_with_a_user_model(spark):
 
     got = text.summarise_with(rows, load).collect()
     assert [(r[0], r["summary"]) for r in got] == [(1, "a")]
+
+
+def test_orders_of_any_year_are_kept(spark, tmp_path):
+    """The calendar spans the data: nothing is lost before 1995 or after 2002."""
+    import shutil
+
+    root = tmp_path / "data"
+    root.mkdir()
+    for name in ("lineitem", "customer", "nation", "supplier", "part", "documents"):
+        shutil.copy(f"{SMALL}/{name}.parquet", root)
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    orders.withColumn("o_orderdate", F.expr(
+        "case when o_orderkey % 2 = 0 then o_orderdate - interval 20 years "
+        "else o_orderdate + interval 30 years end")).write.parquet(str(root / "orders.parquet"))
+    moved, same = (marts.revenue_by_month(load_star(spark, str(r))) for r in (root, SMALL))
+    assert moved.agg(F.sum("revenue")).first()[0] == pytest.approx(same.agg(F.sum("revenue")).first()[0])
+    assert moved.agg(F.min("year")).first()[0] < 1990
+
+
+def test_a_line_without_its_order_is_reported(spark, tmp_path):
+    import shutil
+
+    root = tmp_path / "data"
+    root.mkdir()
+    for name in ("orders", "customer", "nation", "supplier", "part", "documents"):
+        shutil.copy(f"{SMALL}/{name}.parquet", root)
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    stray = lines.limit(3).withColumn("l_orderkey", F.lit(10**12))
+    lines.unionByName(stray).write.parquet(str(root / "lineitem.parquet"))
+    rows = quality.dq_relationships_report(load_star(spark, str(root))).filter("failing_rows > 0").collect()
+    assert [(r["table"], r["column"], r["failing_rows"]) for r in rows] == [("items", "order_key", 3)]
+
+
+def test_no_row_of_a_table_repeats_in_every_column(small):
+    table = collaborative.cf_interaction_table(small, ordered=False)
+    assert collaborative.duplicate_count(table).first()[0] == 0
+    twice = table.unionByName(table.limit(7))
+    assert collaborative.duplicate_count(twice).first()[0] == 7
+
+
+def test_fixture_totals(spark):
+    """The check totals of FIXTURES.md, read from the adapter."""
+    t = load_star(spark, "/root/testdata/sf0.01")
+    items = t.items.agg(F.count("*"), F.sum("price"), F.sum("freight_value")).first()
+    assert (items[0], str(items[1]), str(items[2])) == (60000, "3183256271.63", "127108054.43")
+    assert t.payments.count() == 15600
+    scores = {r["score"]: r["count"] for r in t.reviews.groupBy("score").count().collect()}
+    assert scores == {1: 3647, 2: 2184, 3: 2182, 4: 2181, 5: 2181}
+    people = t.customers.agg(
+        F.count("*"), F.countDistinct("customer_unique_id"), F.count(F.when(F.col("is_current"), 1)))
+    assert tuple(people.first()) == (1500, 1200, 1350)
+    assert t.orders.filter("order_status = 'delivered'").count() == 4933
+    assert t.dates.agg(F.count("*"), F.count(F.when(F.col("is_holiday"), 1))).first()[:] == (2557, 56)

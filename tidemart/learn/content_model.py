@@ -88,15 +88,13 @@ def entity_table(features: DataFrame, key: str, skip: Sequence[str] = ()
     return table.select(key, *kinds, *skip), kinds
 
 
-def repeated(labels: DataFrame, weight: str, most: int = 10) -> DataFrame:
-    """Rows repeated by their weight, for learners without weights.
+def repeated(labels: DataFrame, weight: str) -> DataFrame:
+    """Rows repeated by their weight, for learners without weights; each at least once.
 
-    If the weights would blow the frame up more than ``most`` times they are scaled down
-    together; every row keeps at least one copy.
+    The weights are purchase counts, so the result is no longer than the facts they were counted
+    from.
     """
-    size = labels.agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("w")).first()
-    unit = max(1.0, (size["w"] or 0) / max(most * (size["n"] or 1), 1))
-    copies = F.greatest(F.round(F.col(weight) / unit), F.lit(1)).cast("int")
+    copies = F.greatest(F.round(F.col(weight)), F.lit(1)).cast("int")
     return labels.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
 
 

@@ -15,16 +15,17 @@ def scd1_upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], seq: s
     return latest_by(target.unionByName(batch.select(*target.columns)), keys, [seq])
 
 
-def scd2_history(log: DataFrame, keys: Sequence[str], tracked: Sequence[str], effective: str
-                 ) -> DataFrame:
+def scd2_history(log: DataFrame, keys: Sequence[str], tracked: Sequence[str], effective: str,
+                 sequence: Sequence[str] = ()) -> DataFrame:
     """Validity intervals from a log of dated observations.
 
     A version opens when a tracked column differs from the day before it in the log and ends
-    where the next one opens. Several observations of a key on one day fold into the largest
-    before the window, so a key's group holds at most one row per day.
+    where the next one opens. Several observations of a key on one day fold into the last by
+    ``sequence`` (the largest without one) before the window, so a key's group holds at most one
+    row per day.
     """
     daily = log.groupBy(*keys, effective).agg(
-        F.max(F.struct(*tracked)).alias("seen")
+        F.max_by(F.struct(*tracked), F.struct(*sequence, *tracked)).alias("seen")
     )
     return _intervals(daily, keys, tracked, effective)
 

@@ -27,7 +27,7 @@ STAR = {
     "s_times": f"select {_cols(s.TIMES)}, make_timestamp(second_of_day * 1000000) as full_time "
     "from (select unnest(range(86400)) as second_of_day)",
     "s_content": f"select {_cols(s.REVIEW_CONTENT)} from documents",
-    "s_items": f"select {_cols(s.ITEMS)} from lineitem join orders on l_orderkey = o_orderkey",
+    "s_items": f"select {_cols(s.ITEMS)} from lineitem left join orders on l_orderkey = o_orderkey",
     "s_payments": f"select {_cols(s.PAYMENTS)} from orders union all "
     f"select {_cols(s.SECOND_PAYMENTS)} from orders where {s.SECOND_PAYMENT_RULE}",
     "s_reviews": f"select {_cols(s.REVIEWS)} from {_DOCS} where {s.REVIEW_RULE} union all "

@@ -23,16 +23,16 @@ def candidate_rows(requests: DataFrame, customers: DataFrame, products: DataFram
     goods = products.select("product_key").distinct().withColumn("_good", F.lit(1))
     people = customers.select("customer_unique_id").distinct().withColumn("_person", F.lit(1))
     marked = rows.join(goods, "product_key", "left").join(people, "customer_unique_id", "left")
-    missing = marked.filter(F.col("_good").isNull() | F.col("_person").isNull()).select(
-        "request_id", "customer_unique_id"
-    ).distinct()
-    whole = marked.join(missing.select("request_id"), "request_id", "left_anti").select(
-        "request_id", "customer_unique_id", "product_key", F.lit(True).alias("known")
+    answers = marked.groupBy("request_id", "customer_unique_id").agg(
+        F.collect_list("product_key").alias("ids"),
+        F.bool_and(F.col("_good").isNotNull() & F.col("_person").isNotNull()).alias("known"),
+    )
+    nothing = F.array(F.lit(None).cast("bigint"))
+    return answers.select(
+        "request_id", "customer_unique_id",
+        F.explode(F.when(F.col("known"), F.col("ids")).otherwise(nothing)).alias("product_key"),
+        "known",
     )
-    return whole.unionByName(missing.select(
-        "request_id", "customer_unique_id", F.lit(None).cast("bigint").alias("product_key"),
-        F.lit(False).alias("known"),
-    ))
 
 
 def score_candidates(requests: DataFrame, customers: DataFrame, products: DataFrame,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -25,70 +27,45 @@ def worth_summarising(content: DataFrame, min_words: int = MIN_WORDS,
     return content.filter(F.col(col).isNotNull() & (word_count(F.col(col)) >= min_words))
 
 
-def _sentences(col: str) -> Column:
-    """The text cut after ., ! and ? followed by whitespace."""
-    marked = F.regexp_replace(F.trim(F.col(col)), r"([.!?])\s+", "$1\u0001")
-    return F.split(marked, "\u0001")
+_SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
+_SENTENCE_END = re.compile(r"([.!?])[ \t\n\x0b\f\r]+")
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
+def _words(text: str) -> list[str]:
+    return [w for w in _SPACE.split(text) if w]
 
 
-def sentence_weights(content: DataFrame, key: str, col: str) -> DataFrame:
-    """(key, weights): per sentence position the summed review-wide counts of its longer words.
+def summary(text: str, max_words: int = MAX_WORDS, min_summary: int = 10) -> str:
+    """The sentences with the densest frequent words of one text, in their order.
 
-    Each occurrence of a word weighs its count in the review, so one grouping by word and one
-    by sentence are enough; no frame of words is joined with its own counts.
+    A word of four letters or more weighs its count in the text; a sentence scores its weight
+    per word. The best sentences are taken while they fit ``max_words`` and in any case until
+    ``min_summary`` words are reached, cut at ``max_words``.
     """
-    parts = content.select(key, F.posexplode(_sentences(col)).alias("pos", "sentence"))
-    words = parts.select(key, "pos", F.explode(_words(F.col("sentence"))).alias("word"))
-    places = words.filter(F.length("word") >= 4).groupBy(key, "word").agg(
-        F.collect_list("pos").alias("at")
-    )
-    weights = places.select(
-        key, F.size("at").alias("n"), F.explode("at").alias("pos")
-    ).groupBy(key, "pos").agg(F.sum("n").alias("weight"))
-    return weights.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("pos", "weight"))).alias("weights")
-    )
+    sentences = _SENTENCE_END.sub("\\1\x01", text.strip(" ")).split("\x01")
+    words = [_words(s.lower()) for s in sentences]
+    counts = Counter(w for own in words for w in own if len(w) >= 4)
+    score = {i: sum(counts[w] for w in own) / len(own) for i, own in enumerate(words) if own}
+    taken, total = [], 0
+    for i in sorted(score, key=lambda i: (-score[i], i)):
+        if total + len(words[i]) > max_words and total >= min_summary:
+            break
+        taken.append(i)
+        total += len(words[i])
+    return " ".join(_words(" ".join(sentences[i] for i in sorted(taken)))[:max_words])
 
 
 def summarise_reviews(content: DataFrame, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS,
                       min_summary: int = 10, key: str = "review_content_key",
                       col: str = "review_comment_message") -> DataFrame:
-    """Extractive summaries: the sentences with the densest frequent words of their review.
+    """Extractive summaries. All a summary needs is in its row, so nothing is shuffled."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: summary(t, max_words, min_summary))
 
-    A sentence scores its weight per word. The best sentences are taken while they fit
-    ``max_words`` and in any case until ``min_summary`` words are reached, cut at
-    ``max_words``; they appear in their order in the review.
-    """
     chosen = spread_if_small(worth_summarising(content, min_words, col).select(key, col))
-    scored = F.transform(
-        _sentences(col),
-        lambda s, i: F.struct(
-            (-F.coalesce(F.try_element_at("weights", i), F.lit(0)) / F.size(_words(s))).alias("rank"),
-            i.alias("pos"), F.size(_words(s)).alias("n"), s.alias("sentence"),
-        ),
-    )
-    best_first = F.sort_array(F.filter(scored, lambda s: s["n"] > 0))
-    start = F.struct(F.lit(0).alias("words"), F.lit(0).alias("taken"))
-
-    def take(state: Column, s: Column) -> Column:
-        upto = state["words"] + s["n"]
-        fits = (upto <= max_words) | (state["words"] < min_summary)
-        return F.struct(upto.alias("words"), (state["taken"] + fits.cast("int")).alias("taken"))
-
-    rows = chosen.join(sentence_weights(chosen, key, col), key, "left").withColumn(
-        "weights", F.coalesce("weights", F.create_map().cast("map<int,bigint>"))
-    ).select(key, best_first.alias("best"))
-    # Totals only grow along the ranking, so the taken sentences are its first ones.
-    n_taken = F.aggregate("best", start, take)["taken"]
-    taken = F.slice("best", F.lit(1), n_taken)
-    in_order = F.array_sort(taken, lambda a, b: a["pos"] - b["pos"])
-    text = F.array_join(F.transform(in_order, lambda s: s["sentence"]), " ")
-    kept = F.slice(F.filter(F.split(text, r"\s+"), lambda w: w != ""), 1, max_words)
-    return rows.select(key, F.array_join(kept, " ").alias("summary"))
+    return chosen.select(key, run(F.col(col)).alias("summary"))
 
 
 def summarise_with(content: DataFrame, load: Callable[[], Callable[[list[str]], list[str]]],

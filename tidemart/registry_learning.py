@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.scalars import sixth
 from tidemart.learn import balance, content_model, evaluate, models, prep, recommend, search
 from tidemart.operators import cooccurrence
+from tidemart.operators.relational import broadcast_if_small
 from tidemart.oracle import features as sql_features
 from tidemart.oracle import marts as sql_marts
 from tidemart.oracle.star import star_sql
@@ -18,15 +19,13 @@ from tidemart.registry_basics import unit_sql
 from tidemart.session import shared_dir, written
 from tidemart.sources.star import Star
 
-_KEPT: dict[tuple, DataFrame] = {}
-
-
-def kept(t: Star, name: str, build) -> DataFrame:
-    """A stage result written once per application and input, read by later queries."""
-    at = (t.spark.sparkContext.applicationId, t.root, name)
-    if at not in _KEPT:
-        _KEPT[at] = written(build(), name)
-    return _KEPT[at]
+def kept(t: Star, name: str, build):
+    """A stage of one query, made once; every query has a star of its own and starts anew."""
+    stages = t.__dict__.setdefault("_stages", {})
+    if name not in stages:
+        made = build()
+        stages[name] = written(made, name) if isinstance(made, DataFrame) else made
+    return stages[name]
 
 
 def churn_table(t: Star) -> DataFrame:
@@ -256,23 +255,24 @@ over_star("sequence_tokens", sequence_tokens, star_sql(
 
 
 def masked_history(t: Star) -> DataFrame:
-    """Padded code lists and the mean code of the real tokens."""
+    """Padding each code list needs, and the mean code of its real tokens.
+
+    The widest list sets the width, but no list is filled up to it, and the vocabulary is joined
+    to the counts of tokens, not carried on every row.
+    """
     goods = t.products.filter("product_category_name is not null")
     codes = content_model.vocabulary([goods], "product_category_name")
-    tokens = content_model.sequence_codes(_history(t), codes)
-    width = tokens.agg(F.max(F.size("tokens"))).scalar()
-    weights = codes.agg(
-        F.transform(
-            F.sort_array(F.collect_list("code")), lambda c: (c + 1).cast("double")
-        ).alias("w")
-    ).select(F.concat(F.array(F.lit(0.0)), "w")).scalar()
-    lines = tokens.withColumn("weights", weights).select(
-        "customer_unique_id", "weights", content_model.padded(F.col("tokens"), width).alias("line")
-    )
-    return lines.select(
-        "customer_unique_id", F.size("line").alias("width"),
-        F.size(F.filter("line", lambda x: x == 0)).alias("n_padding"),
-        sixth(content_model.masked_mean(F.col("line"), F.col("weights"))).alias("mean_code"),
+    tokens = kept(t, "tokens", lambda: content_model.sequence_codes(_history(t), codes))
+    lists = tokens.select("customer_unique_id", F.size("tokens").alias("n"))
+    weights = codes.select((F.col("code") + 1).alias("token"), (F.col("code") + 1).alias("weight"))
+    counts = tokens.select("customer_unique_id", F.explode("tokens").alias("token")).filter(
+        "token <> 0").groupBy("customer_unique_id", "token").count()
+    means = counts.join(broadcast_if_small(weights), "token").groupBy("customer_unique_id").agg(
+        (F.sum(F.col("count") * F.col("weight")) / F.sum("count")).alias("mean"))
+    width = lists.agg(F.max("n")).scalar()
+    return lists.join(means, "customer_unique_id", "left").select(
+        "customer_unique_id", width.alias("width"), (width - F.col("n")).alias("n_padding"),
+        sixth(F.col("mean")).alias("mean_code"),
     )
 
 
@@ -410,15 +410,9 @@ over_star("polynomial_features", polynomial, _churn(
 
 # --- models -----------------------------------------------------------------------------
 
-_PREPARED: dict[tuple, search.Prepared] = {}
-
-
 def prepared(t: Star) -> search.Prepared:
-    at = (t.spark.sparkContext.applicationId, t.root)
-    if at not in _PREPARED:
-        train, test = prep.split(churn_table(t), 0.9, 42, "customer_id")
-        _PREPARED[at] = search.prepare(train, test)
-    return _PREPARED[at]
+    return kept(t, "prepared", lambda: search.prepare(
+        *prep.split(churn_table(t), 0.9, 42, "customer_id")))
 
 
 def model_query(name: str, learner) -> None:
@@ -487,12 +481,8 @@ model_query("churn_stacking", lambda: models.Stacking(
 
 
 def _search_folds(t: Star) -> list[search.Prepared]:
-    at = (t.spark.sparkContext.applicationId, t.root, "folds")
-    if at not in _PREPARED:
-        _PREPARED[at] = search.prepare_folds(
-            prep.split(churn_table(t), 0.9, 42, "customer_id")[0], 2, 42, "customer_id"
-        )
-    return _PREPARED[at]
+    return kept(t, "folds", lambda: search.prepare_folds(
+        prep.split(churn_table(t), 0.9, 42, "customer_id")[0], 2, 42, "customer_id"))
 
 
 def halving(t: Star) -> DataFrame:
@@ -673,14 +663,14 @@ def factor_query(name: str, fit) -> None:
     over_star(name, run)
 
 
-factor_query("svd", lambda train: recommend.fit_svd(train, rank=20, rounds=10))
-factor_query("svdpp", lambda train: recommend.fit_svdpp(train, rank=20, rounds=10))
-factor_query("nmf", lambda train: recommend.fit_nmf(train, rank=15, rounds=15))
+factor_query("svd", lambda train: recommend.fit_svd(train, rank=50, rounds=20))
+factor_query("svdpp", lambda train: recommend.fit_svdpp(train, rank=20, rounds=20))
+factor_query("nmf", lambda train: recommend.fit_nmf(train, rank=15, rounds=50))
 
 
 def recommender_grid(t: Star) -> DataFrame:
     train, test = recommend.rating_split(cf_pairs(t))
-    grid = [{"rank": r, "rounds": 8} for r in (15, 30)]
+    grid = [{"rank": r, "rounds": 50} for r in (15, 30)]
     return recommend.grid_search(recommend.fit_nmf, grid, train, test)
 
 
@@ -688,7 +678,7 @@ over_star("recommender_grid", recommender_grid)
 
 
 def top_recommendations(t: Star) -> DataFrame:
-    return recommend.fit_nmf(cf_pairs(t), rank=15, rounds=10).recommend(10)
+    return recommend.fit_nmf(cf_pairs(t), rank=15, rounds=50).recommend(10)
 
 
 over_star("recommend_top_k", top_recommendations)
@@ -801,7 +791,7 @@ def fitted_content(t: Star):
     model = content_model.fit_content(
         kept(t, "customers", lambda: content.customer_content_features(t)),
         kept(t, "products", lambda: content.product_content_features(t)),
-        train, factors=8, rounds=10,
+        train, factors=32, rounds=20,
     )
     return model, test
 

@@ -10,7 +10,7 @@ from tidemart.operators import history
 from tidemart.oracle.star import star_sql
 from tidemart.registry import over_star
 from tidemart.session import shared_dir
-from tidemart.sources.tables import VersionedTable
+from tidemart.sources.tables import write_version
 from tidemart.streaming import ingest, state, windows
 from tidemart.streaming.drain import drain, drain_updates
 
@@ -108,18 +108,16 @@ def _order_versions(t) -> DataFrame:
 
 
 def scd1_orders(t) -> DataFrame:
-    """Latest order per customer, loaded in two overlapping batches through a versioned table."""
+    """Latest order per customer, loaded in two overlapping batches, a table version each."""
     versions = _order_versions(t).withColumn(
         "at", F.concat_ws("-", F.col("seen_on"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
     )
-    table = VersionedTable(t.spark, shared_dir(t.spark, "scd1"))
-    for batch in (versions.filter("o_orderkey % 3 <> 0"), versions.filter("o_orderkey % 3 <> 1")):
-        table.update(
-            lambda held, b=batch: history.scd1_upsert(
-                b.limit(0) if held is None else held, b, ["customer_key"], "at"
-            )
-        )
-    return table.read().drop("at")
+    root = shared_dir(t.spark, "scd1")
+    held = versions.limit(0)
+    for version, batch in enumerate(("o_orderkey % 3 <> 0", "o_orderkey % 3 <> 1"), 1):
+        merged = history.scd1_upsert(held, versions.filter(batch), ["customer_key"], "at")
+        held = write_version(merged, root, version)
+    return held.drop("at")
 
 
 over_star("scd1_upsert", scd1_orders,

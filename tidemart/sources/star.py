@@ -79,8 +79,8 @@ REVIEW_CONTENT = [
 _PRICE = f"cast(l_extendedprice as {MONEY})"
 
 ITEMS = [
-    "o_orderkey as order_key",
-    "'o' || o_orderkey as order_id",
+    "l_orderkey as order_key",
+    "'o' || l_orderkey as order_id",
     "o_custkey as customer_key",
     "l_suppkey as seller_key",
     "l_partkey as product_key",
@@ -221,7 +221,8 @@ class RawStar(Star):
     @cached_property
     def items(self) -> DataFrame:
         lines, orders = self.raw("lineitem"), self.raw("orders")
-        return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(*ITEMS)
+        # A line without its order stays, so that the quality rules can see it.
+        return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left").selectExpr(*ITEMS)
 
     @cached_property
     def payments(self) -> DataFrame:

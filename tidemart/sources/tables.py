@@ -1,13 +1,8 @@
-"""Published views, SQL text, and versioned tables."""
+"""Published views, SQL text, and table versions."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 
 def run_sql(spark: SparkSession, text: str, **params) -> DataFrame:
@@ -23,41 +18,15 @@ def publish_mart(df: DataFrame, name: str, path: str | None = None) -> None:
     df.createOrReplaceTempView(name)
 
 
-class VersionedTable:
-    """A Parquet table whose rewrites become visible in one step.
+def write_version(df: DataFrame, root: str, version: int) -> DataFrame:
+    """Write a whole version of a table to a folder of its own and read it back.
 
-    Each rewrite goes to its own folder; a one-row append to the commit log then names it.
-    Readers follow the newest commit, so a failed write is never seen.
+    A version is named by the caller and never overwritten: writing it again fails, so a rewrite
+    that broke off must be repeated under the next number, and readers keep what they read.
     """
+    df.write.mode("errorifexists").parquet(f"{root}/v{version}")
+    return read_version(df.sparkSession, root, version)
+
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-
-    def _commits(self) -> DataFrame:
-        return self.spark.read.schema("version long, path string").parquet(f"{self.root}/commits")
-
-    def version(self) -> tuple[int, str | None]:
-        try:
-            row = self._commits().agg(
-                F.max("version").alias("v"), F.max_by("path", "version").alias("p")
-            ).first()
-        except AnalysisException:
-            return 0, None
-        return (row["v"] or 0), row["p"]
-
-    def read(self) -> DataFrame | None:
-        _, path = self.version()
-        return self.spark.read.parquet(path) if path else None
-
-    def write(self, df: DataFrame) -> int:
-        version, _ = self.version()
-        path = f"{self.root}/data-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        commit = self.spark.range(1).select(
-            F.lit(version + 1).cast("long").alias("version"), F.lit(path).alias("path")
-        )
-        commit.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-        return version + 1
-
-    def update(self, change: Callable[[DataFrame | None], DataFrame]) -> int:
-        return self.write(change(self.read()))
+def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    return spark.read.parquet(f"{root}/v{version}")
