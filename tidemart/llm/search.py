@@ -34,7 +34,9 @@ K = 5
 #: Sampled vectors and centres chosen among them; rows of a block, and queries of a chunk.
 SAMPLE, CENTRES, BLOCK, CHUNK = 512, 32, 8192, 2048
 #: Points of a leaf of the data and of the queries, most children of a node, and how much the covering radius shrinks a level.
-LEAF, QUERY_LEAF, CHILDREN, SHRINK = 128, 16, 32, 0.7
+LEAF, QUERY_LEAF, CHILDREN, SHRINK = 256, 16, 32, 0.7
+#: Queries compared with a leaf at once.
+ROWS = 64
 
 
 class Node:
@@ -51,14 +53,20 @@ class Node:
         self.children: list[Node] = []
         self.worst = -np.inf
         if len(points) > leaf and away.max() > 0:
-            self.children = [Node(x, p, leaf) for p in self._cover(x, points, away)]
+            self.children = [Node(x, p, leaf) for p in self._cover(x, points, away, leaf)]
 
-    def _cover(self, x: np.ndarray, points: np.ndarray, away: np.ndarray) -> list[np.ndarray]:
-        """Sets around points chosen farthest first until all lie within the next radius."""
+    def _cover(self, x: np.ndarray, points: np.ndarray, away: np.ndarray, leaf: int) -> list[np.ndarray]:
+        """Sets around points chosen farthest first until all lie within the next radius.
+
+        Points that so few balls cannot cover have too many dimensions for a bound to tell them
+        apart: they stay one leaf, which a matrix product searches faster than smaller nodes.
+        """
         own = x[points]
         least, nearest = np.full(len(points), np.inf), np.zeros(len(points), int)
         pick, made = int(away.argmax()), 0
-        while made < 2 or (made < CHILDREN and least.max() > self.radius * SHRINK):
+        while made < 2 or least.max() > self.radius * SHRINK:
+            if made == CHILDREN:
+                return []
             gap = np.sqrt(((own - own[pick]) ** 2).sum(1))
             closer = gap < least
             least[closer], nearest[closer] = gap[closer], made
@@ -106,7 +114,9 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, d
         if -negative < q.worst:
             continue
         if not q.children and not d.children:
-            _compare(queries, query_ids, data, data_ids, q.points, np.sort(d.points), best, ids, k)
+            columns = np.sort(d.points)
+            for i in range(0, len(q.points), ROWS):
+                _compare(queries, query_ids, data, data_ids, q.points[i:i + ROWS], columns, best, ids, worst, k)
             worst[q.points] = np.maximum(worst[q.points], best[q.points, -1])
             node: Node | None = q
             while node is not None:
@@ -123,18 +133,24 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, floor: np.ndarray, d
     return best, ids
 
 
-def _compare(queries, query_ids, data, data_ids, rows, columns, best, ids, k) -> None:
+def _compare(queries, query_ids, data, data_ids, rows, columns, best, ids, worst, k) -> None:
+    """Merge the scores of some queries and data (columns in order of id) into the best."""
+    names = data_ids[columns]
     score = queries[rows] @ data[columns].T
-    names = np.broadcast_to(data_ids[columns], score.shape)
-    score = np.where(names == query_ids[rows][:, None], -np.inf, score)
-    first = np.argsort(-score, axis=1, kind="stable")[:, :k]  # columns are in order of id
-    score = np.concatenate((best[rows], np.take_along_axis(score, first, 1)), 1)
-    names = np.concatenate((ids[rows], np.take_along_axis(names, first, 1)), 1)
-    by_id = np.argsort(names, axis=1, kind="stable")
-    score, names = np.take_along_axis(score, by_id, 1), np.take_along_axis(names, by_id, 1)
-    first = np.argsort(-score, axis=1, kind="stable")[:, :k]
-    best[rows] = np.take_along_axis(score, first, 1)
-    ids[rows] = np.take_along_axis(names, first, 1)
+    own = np.minimum(np.searchsorted(names, query_ids[rows]), len(names) - 1)
+    itself = np.flatnonzero(names[own] == query_ids[rows])
+    score[itself, own[itself]] = -np.inf
+    place = max(0, len(names) - k)
+    least = np.maximum(np.partition(score, place, axis=1)[:, place], worst[rows])
+    row, column = np.nonzero((score >= least[:, None]) & (score > -np.inf))
+    row = np.concatenate((row, np.repeat(np.arange(len(rows)), k)))
+    value = np.concatenate((score[row[:len(column)], column], best[rows].ravel()))
+    name = np.concatenate((names[column], ids[rows].ravel()))
+    order = np.lexsort((name, -value, row))
+    row, value, name = row[order], value[order], name[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    first = rank < k  # every query has k entries or more
+    best[rows], ids[rows] = value[first].reshape(-1, k), name[first].reshape(-1, k)
 
 
 def whole_numbers(vector: Column) -> Column:
