@@ -19,15 +19,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows per Arrow batch: long texts must fit a Python worker many times over.
 BATCH_ROWS = 512
 #: Bytes of text handled at once inside a Python worker.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tune(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_batches(rows: DataFrame) -> DataFrame:
+    """The rows, to be handed to Python in batches of few: texts are long."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return rows
+
+
 def word_count(text: str) -> Column:
     """Words of a text column; 0 for null."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")

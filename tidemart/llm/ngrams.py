@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import chunks, table
+from tidemart.llm.common import chunks, in_batches, table
 from tidemart.llm.language import remainder
 from tidemart.session import shared_dir, written
 
@@ -336,7 +336,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     def words(batches):
         yield from _gathered(batches, lambda _, t: t, parts, lambda k: _part_of_hash(k, parts))
 
-    found = texts.mapInArrow(words, _COUNTED).groupBy("part").applyInPandas(
+    found = in_batches(texts).mapInArrow(words, _COUNTED).groupBy("part").applyInPandas(
         _words_part(model.root), "part int, words long, tokens long").collect()
     sizes, mass = np.zeros(parts, np.int64), np.zeros(parts, np.int64)
     for r in found:
@@ -462,7 +462,7 @@ def score(docs: DataFrame, model: Model, keep: dict[str, Column], text_col: str
                  pa.array(10.0 ** (-own / np.maximum(tokens, 1)))],
                 [*names, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
-    return rows.mapInArrow(
+    return in_batches(rows).mapInArrow(
         run, f"{kept}, n_tokens long, n_known long, train_tokens long, base_score double, score double,"
         " perplexity double")
 

@@ -21,10 +21,10 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import table
+from tidemart.llm.common import in_batches, table
 from tidemart.operators.relational import broadcast_if_small
 from tidemart.session import written
 
@@ -114,7 +114,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(repo_col).cast("string").alias("_repo"), F.col(text_col).cast("string").alias("_text"))
     kept = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "_text")
     scanned = written(
-        rows.mapInArrow(_scan, f"{kept}, base_spans string, _found {_FOUND}"), "secret-candidates")
+        in_batches(rows).mapInArrow(_scan, f"{kept}, base_spans string, _found {_FOUND}"), "secret-candidates")
     each = scanned.where(F.size("_found") > 0).select(
         "_row", "doc_id", "_text_hash", "base_spans", "_owner", "_repo", F.explode("_found").alias("f"))
     frequency = (
@@ -135,23 +135,33 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "_row", "doc_id", "_text_hash", "base_spans",
         F.lit(None).cast(judged.schema["found"].dataType).alias("found"))
     names = F.array(*[F.lit(k) for k in KINDS])
-    shown = F.transform(
-        F.filter("found", lambda s: (s["kind"] < BASE) | s["live"]),
+    listed = F.transform(
+        shown(F.col("found")),
         lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")))
     return judged.unionByName(none).withColumn("found", F.coalesce("found", F.array().cast(
-        judged.schema["found"].dataType))).withColumn("spans", F.array_join(shown, ","))
+        judged.schema["found"].dataType))).withColumn("spans", F.array_join(listed, ","))
 
 
-def _without(text: str | None, spans: str | None) -> str | None:
-    if not text or not spans:
-        return text
-    at, out = 0, []
-    for span in spans.split(","):
-        kind, start, end = span.split(":")
-        if int(start) >= at:
-            out += [text[at:int(start)], f"[{kind.upper()}]"]
-        at = max(at, int(end))
-    return "".join(out) + text[at:]
+def shown(found: Column) -> Column:
+    """The spans among the candidates: the base ones, and the others that look live."""
+    return F.filter(found, lambda s: (s["kind"] < BASE) | s["live"])
+
+
+def _without(text: Column, spans: Column) -> Column:
+    """The text with each span, in order of start, replaced by its kind; overlaps go as one."""
+    names = F.array(*[F.lit(k.upper()) for k in KINDS])
+
+    def cut(state: Column, s: Column) -> Column:
+        until = F.concat(
+            state["out"], F.substr(text, state["at"] + 1, (s["start"] - state["at"]).cast("int")),
+            F.lit("["), F.get(names, s["kind"]), F.lit("]"))
+        return F.struct(
+            F.greatest(state["at"], s["end"].cast("int")).alias("at"),
+            F.when(s["start"] >= state["at"], until).otherwise(state["out"]).alias("out"))
+
+    return F.aggregate(
+        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut,
+        lambda state: F.concat(state["out"], F.substr(text, state["at"] + 1)))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -164,14 +174,15 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spans = written(
         scan(docs, id_col, text_col, owner_col, repo_col).where(F.col("spans") != "")
         .groupBy(F.col("doc_id").alias("__span_id"), F.col("_text_hash").alias("__span_hash"))
-        .agg(F.first("spans").alias("__spans")), "secret-spans")
-    without = F.udf(_without, "string")  # runs on the few rows with spans only
+        .agg(F.first(F.transform(shown(F.col("found")), lambda s: F.struct(
+            s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))).alias("__spans")),
+        "secret-spans")
     found = docs.join(
         broadcast_if_small(spans),
         F.col(id_col).eqNullSafe(F.col("__span_id")) & (F.xxhash64(text_col) == F.col("__span_hash")), "left")
     return found.withColumn(
         text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(
-            without(F.col(text_col), F.col("__spans")))).select(*docs.columns)
+            _without(F.col(text_col), F.col("__spans")))).select(*docs.columns)
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

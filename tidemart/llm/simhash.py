@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import _mix, pieces, table
+from tidemart.llm.common import _mix, in_batches, pieces, table
 from tidemart.operators.relational import broadcast_if_small
 from tidemart.session import written
 
@@ -121,7 +121,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, fp (the 64 bits as a long) per row."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_fingerprints(shingle), f"doc_id {kind}, fp long")
+    return in_batches(rows).mapInArrow(_fingerprints(shingle), f"doc_id {kind}, fp long")
 
 
 def _distance(f: Column, pivot: int) -> Column:
@@ -208,8 +208,9 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     best = linked.groupBy("label").agg(F.min("least").alias("_best")).withColumnRenamed("label", "_label")
     moved = linked.join(best, F.col("label") == F.col("_label")).select(
         F.col("fp").alias("_moved"), "_best")
-    final = least.join(moved, F.col("fp") == F.col("_moved"), "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("_best", "least").alias("component_id"))
+    # Written, so that the join below is between two plain tables and a hot fingerprint can be split.
+    final = written(least.join(moved, F.col("fp") == F.col("_moved"), "left").select(
+        F.col("fp").alias("_fp"), F.coalesce("_best", "least").alias("component_id")), "components")
     return prints.join(final, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
@@ -293,7 +294,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alike = written(alike, "equal-texts")
     single = rows.join(
         broadcast_if_small(alike.select("_id")), F.col("doc_id") == F.col("_id"), "left_anti")
-    sketch = written(single.mapInArrow(
+    sketch = written(in_batches(single).mapInArrow(
         _sketches(shingle), f"doc_id {kind}, shingles long, fp long, thinned array<long>"), "sketches")
     shared = sketch.select("doc_id", "shingles", F.posexplode("thinned").alias("_t", "_k")).union(
         sketch.select("doc_id", "shingles", F.lit(-1), "fp"))
@@ -318,7 +319,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bodies = rows.select(F.col("doc_id").alias("_d"), F.col("_text").alias("_t"))
     both = candidates.join(bodies.withColumnRenamed("_t", "_ta"), F.col("a") == F.col("_d")).drop("_d")
     both = both.join(bodies.withColumnRenamed("_t", "_tb"), F.col("b") == F.col("_d")).drop("_d")
-    verified = written(both.select("a", "b", "_ta", "_tb").mapInArrow(
+    verified = written(in_batches(both.select("a", "b", "_ta", "_tb")).mapInArrow(
         _similar(shingle, similarity), f"a {kind}, b {kind}"), "verified")
     labels = components(verified)
     near_keepers = labels.where(F.col("node") != F.col("label")).select(

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import table
+from tidemart.llm.common import in_batches, table
 from tidemart.operators.relational import broadcast_if_small
 from tidemart.session import shared_dir, written
 
@@ -106,7 +106,7 @@ def _read(spark: SparkSession, path: str, keep_bytes: bool) -> DataFrame:
     raw = spark.read.option("lineSep", MAGIC).text(path).select(
         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.col("value").cast("binary").alias("value"))
-    return raw.mapInArrow(
+    return in_batches(raw).mapInArrow(
         _pieces(keep_bytes), "file long, block long, local long, size long, reach long, header binary, body binary")
 
 
