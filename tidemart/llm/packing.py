@@ -27,14 +27,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import chunks, table
+from tidemart.llm.common import chunks, in_batches, table
 
 CAPACITY = 4096
 #: Windows per pool, and the part of them that a pool fills.
 GROUP, FILL = 256, 0.998
 END = 2
 #: Words remembered per worker before starting over.
-REMEMBERED = 1 << 21
+REMEMBERED = 1 << 19
+#: Words handed to the tokenizer at once; its results take a kilobyte each.
+AT_ONCE = 4096
 RUNS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
 
 
@@ -80,7 +82,7 @@ class WordIds:
         return made
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        made = self._encoded(words)
+        made = [ids for i in range(0, len(words), AT_ONCE) for ids in self._encoded(words[i:i + AT_ONCE])]
         length = np.fromiter(map(len, made), np.int64, len(made))
         flat = np.fromiter((i for ids in made for i in ids), np.uint32, int(length.sum()))
         if self.used + len(flat) > len(self.pool):
@@ -115,6 +117,16 @@ class WordIds:
         return self.pool[index], length
 
 
+_KNOWN: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The worker's own table of words, kept from task to task."""
+    if path not in _KNOWN:
+        _KNOWN[path] = WordIds(path)
+    return _KNOWN[path]
+
+
 def tokenized(texts: pa.Array, words: WordIds, end: int = END):
     """(place in the column, ids with the end id) for every text, in order."""
     held: list[np.ndarray] = []
@@ -245,7 +257,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     kind = docs.schema[id_col].dataType
 
     def run(batches):
-        words = WordIds(tokenizer)
+        words = word_ids(tokenizer)
         packer = Packer(TaskContext.get().partitionId() << 32, capacity, group, fill)
         schema = None
 
@@ -267,7 +279,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         if rows:
             yield batch(rows)
 
-    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    out = in_batches(texts).mapInArrow(
         run, f"sequence_id long, offset long, doc_id {kind.simpleString()}, start long, ids binary, doc_tokens long")
     return out.select(
         "doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("length"), "ids", "doc_tokens",
