@@ -129,6 +129,30 @@ def test_near_duplicates_of_the_documents(spark):
     assert len(gone & parted) >= 0.97 * len(parted) and gone <= parted
 
 
+def test_near_copies_among_texts_that_share_a_passage(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    rows = []
+    for share in (300, 320):
+        passage = [rng.choice(vocabulary) for _ in range(share)]
+        for _ in range(80):
+            own = [rng.choice(vocabulary) for _ in range(400 - share)]
+            copy = list(own)
+            for at in range(5, len(own), len(own) // 8):
+                copy[at] = f"changed{rng.random()}"
+            rows += [(len(rows) + i, " ".join(passage + t)) for i, t in enumerate((own, copy))]
+    ids = list(range(len(rows)))
+    rng.shuffle(ids)
+    text = {i: t for i, (_, t) in zip(ids, rows)}
+    sets = {i: set(shingles(t, 5)) for i, t in text.items()}
+    pairs = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(pairs) == 160
+    assert all(len(sets[i] & sets[j]) < 0.85 * len(sets[i] | sets[j]) for i, j in pairs)
+    docs = spark.createDataFrame(sorted(text.items()), "doc_id long, text string").repartition(4)
+    got = {(r["keeper"], r["doc_id"]) for r in simhash.near_duplicates(docs).collect()}
+    assert got == set(pairs)
+
+
 def test_deduplicate_edge_cases(edge, empty):
     kept = simhash.deduplicate(edge)
     assert kept.columns == edge.columns

@@ -42,6 +42,8 @@ REFERENCES = 4
 MAX_BITS = 2
 #: Thinned fingerprints per text for `near_duplicates`, and shingles in each.
 THINNED, THIN = 8, 2
+#: About so many shingles are counted to tell the common ones; a sample if there are more.
+COUNTED = 1 << 21
 
 
 def _signed(x: int) -> int:
@@ -254,19 +256,21 @@ def _sketches(k: int):
     return run
 
 
+def _sets(texts: pa.Array, k: int):
+    """The different shingle hashes of each text, in ascending order."""
+    parts: list[np.ndarray] = []
+    for _, hashes, complete in text_shingles(texts, k):
+        parts.append(hashes)
+        if complete:
+            yield np.unique(np.concatenate(parts))
+            parts = []
+
+
 def _similar(k: int, least: float):
     def run(batches):
-        def own(texts):
-            parts: list[np.ndarray] = []
-            for _, hashes, complete in text_shingles(texts, k):
-                parts.append(hashes)
-                if complete:
-                    yield np.unique(np.concatenate(parts))
-                    parts = []
-
         for batch in batches:
             keep = []
-            for a, b in zip(own(batch.column("_ta")), own(batch.column("_tb"))):
+            for a, b in zip(_sets(batch.column("_ta"), k), _sets(batch.column("_tb"), k)):
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 union = len(a) + len(b) - both
                 keep.append(union == 0 or both >= least * union)
@@ -275,6 +279,74 @@ def _similar(k: int, least: float):
     return run
 
 
+def _listed(k: int):
+    def run(batches):
+        for batch in batches:
+            for own in _sets(batch.column("_text"), k):
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["token"])
+
+    return run
+
+
+def _prefixes(k: int, least: float, common):
+    """Per text its rarest shingles: as many as a similar text may lack, and one more."""
+    def run(batches):
+        known, times = common.value
+        for batch in batches:
+            rows, sizes, places, tokens = [], [], [], []
+            for i, own in enumerate(_sets(batch.column("_text"), k)):
+                at = np.searchsorted(known, own)
+                at[at == len(known)] = 0
+                often = np.where(known[at] == own, times[at], 0) if len(known) else np.zeros(len(own), np.int64)
+                n = int((1 - least) * len(own) + 1e-9) + 1
+                first = own[np.lexsort((_mix(own), often))[:n]] if len(own) else np.zeros(1, np.uint64)
+                rows.append(np.full(len(first), i))
+                sizes.append(np.full(len(first), len(own)))
+                places.append(np.arange(len(first)))
+                tokens.append(first.view(np.int64))
+            if not rows:
+                continue
+            row = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(row), batch.column("label").take(row),
+                 *(pa.array(np.concatenate(x).astype(np.int64)) for x in (sizes, places, tokens))],
+                ["doc_id", "label", "size", "place", "token"])
+
+    return run
+
+
+def _prefix_pairs(texts: DataFrame, shingles: int, k: int, similarity: float) -> DataFrame:
+    """doc_id, label, _text -> a, b: candidates of different labels; no similar pair is left out.
+
+    Shingles have one order for all texts, rarest first. The first shingle that two similar texts
+    have in common lies among the first (1 - s) n of the longer and the first (1 - 2s / (1 + s)) n
+    of the shorter, and both have enough left after it. The order decides only how many pairs are
+    tried, so counts from a sample of the texts do.
+    """
+    kind, label = texts.schema["doc_id"].dataType.simpleString(), texts.schema["label"].dataType.simpleString()
+    share = min(1.0, COUNTED / max(1, shingles))
+    some = texts.where(F.pmod(F.xxhash64(F.lit("common"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    counts = in_batches(some.select("_text")).mapInArrow(_listed(k), "token long").groupBy("token").agg(
+        F.count("*").alias("n")).where("n > 1").toArrow()
+    known = counts.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(known)
+    common = texts.sparkSession.sparkContext.broadcast((known[order], counts.column("n").to_numpy()[order]))
+    held = written(in_batches(texts.select("doc_id", "label", "_text")).mapInArrow(
+        _prefixes(k, similarity, common),
+        f"doc_id {kind}, label {label}, size long, place long, token long"), "prefixes")
+    mixed = held.groupBy(F.col("token").alias("_token")).agg(
+        F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high").select("_token")
+    held = written(held.join(mixed, F.col("token") == F.col("_token"), "left_semi"), "shared-prefixes")
+    a, b = (held.select(*[F.col(c).alias(f"{c}_{side}") for c in held.columns]) for side in ("a", "b"))
+    a = a.where(F.col("place_a") <= (1 - 2 * similarity / (1 + similarity)) * F.col("size_a") + 1e-9)
+    left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    return a.join(
+        b, (F.col("token_a") == F.col("token_b")) & (F.col("label_a") != F.col("label_b"))
+        & (F.struct("size_a", "doc_id_a") < F.struct("size_b", "doc_id_b"))
+        & (left * (1 + similarity) >= similarity * (F.col("size_a") + F.col("size_b")) - 1e-6)).select(
+        F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 5, similarity: float = 0.8, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, keeper of every document that is not the one of its group that stays.
@@ -283,6 +355,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     `max_bits`), and pairs of a document with the first one that has a thinned fingerprint in
     common, so a group of n similar texts makes at most n pairs per thinned fingerprint. Every
     candidate is verified by the exact similarity of the shingle sets; groups are components.
+
+    Where texts with a fingerprint in common are then still in different groups, as texts that
+    share a long passage are, those texts are joined on their rarest shingles, which finds every
+    similar pair across groups.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(
@@ -310,18 +386,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         near = near.join(
             least.select(F.col("fp").alias(f"_f{side}"), F.col("_of").alias(f"_{side}")),
             F.col(side) == F.col(f"_f{side}"))
-    near = near.select(
+    near = written(near.select(
         F.least("_a.doc_id", "_b.doc_id").alias("a"), F.col("_a.shingles").alias("_na"),
-        F.greatest("_a.doc_id", "_b.doc_id").alias("b"), F.col("_b.shingles").alias("_nb"))
+        F.greatest("_a.doc_id", "_b.doc_id").alias("b"), F.col("_b.shingles").alias("_nb"),
+        "_fa", "_fb"), "near-fingerprints")
     fits = F.least("_na", "_nb") >= similarity * F.greatest("_na", "_nb")
-    candidates = written(
-        pairs.union(near).where((F.col("a") != F.col("b")) & fits).select("a", "b").distinct(), "candidates")
     bodies = rows.select(F.col("doc_id").alias("_d"), F.col("_text").alias("_t"))
-    both = candidates.join(bodies.withColumnRenamed("_t", "_ta"), F.col("a") == F.col("_d")).drop("_d")
-    both = both.join(bodies.withColumnRenamed("_t", "_tb"), F.col("b") == F.col("_d")).drop("_d")
-    verified = written(in_batches(both.select("a", "b", "_ta", "_tb")).mapInArrow(
-        _similar(shingle, similarity), f"a {kind}, b {kind}"), "verified")
+
+    def verify(candidates: DataFrame) -> DataFrame:
+        both = candidates.join(bodies.withColumnRenamed("_t", "_ta"), F.col("a") == F.col("_d")).drop("_d")
+        both = both.join(bodies.withColumnRenamed("_t", "_tb"), F.col("b") == F.col("_d")).drop("_d")
+        return written(in_batches(both.select("a", "b", "_ta", "_tb")).mapInArrow(
+            _similar(shingle, similarity), f"a {kind}, b {kind}"), "verified")
+
+    verified = verify(written(
+        pairs.union(near.drop("_fa", "_fb")).where((F.col("a") != F.col("b")) & fits)
+        .select("a", "b").distinct(), "candidates"))
     labels = components(verified)
+
+    # What a fingerprint has in common but the verified pairs do not connect.
+    named = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    labelled = written(sketch.join(named, F.col("doc_id") == F.col("_node"), "left").select(
+        "doc_id", "shingles", "fp", "thinned", F.coalesce("_label", "doc_id").alias("label")), "labelled-sketches")
+    shared = labelled.select("doc_id", "label", F.posexplode("thinned").alias("_t", "_k")).union(
+        labelled.select("doc_id", "label", F.lit(-1), "fp"))
+    split = shared.groupBy(F.col("_t").alias("_st"), F.col("_k").alias("_sk")).agg(
+        F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high").select("_st", "_sk")
+    for side in ("a", "b"):
+        near = near.join(named.select(F.col("_node").alias(f"_at{side}"), F.col("_label").alias(f"_of{side}")),
+                         F.col(side) == F.col(f"_at{side}"), "left")
+    apart = near.where(F.coalesce("_ofa", "a") != F.coalesce("_ofb", "b"))
+    split = split.union(apart.select(F.lit(-1), "_fa")).union(apart.select(F.lit(-1), "_fb")).distinct()
+    unsettled = written(shared.join(
+        split, (F.col("_t") == F.col("_st")) & (F.col("_k") == F.col("_sk")), "left_semi").groupBy(
+        F.col("doc_id").alias("_id")).agg(F.min("label").alias("label")), "unsettled")
+    total = sketch.join(broadcast_if_small(unsettled), F.col("doc_id") == F.col("_id"), "left_semi").agg(
+        F.sum("shingles")).first()[0]
+    if total is not None:
+        again = written(single.join(
+            broadcast_if_small(unsettled), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "_text"),
+            "unsettled-texts")
+        more = verify(written(_prefix_pairs(again, total, shingle, similarity), "candidates"))
+        if not more.isEmpty():
+            labels = components(verified.union(more))
     near_keepers = labels.where(F.col("node") != F.col("label")).select(
         F.col("node").alias("doc_id"), F.col("label").alias("keeper"))
     moved = alike.join(
