@@ -150,6 +150,35 @@ def test_ownership_parts_examples_from_live(spark):
     assert by[hashlib.sha256(example.encode()).hexdigest()] == (7, False)
 
 
+def test_copies_of_one_owner_stay_live(spark):
+    live = "Zx9Kq2Lm7Pw4Rt8Vb1Nc"
+    rows = [(i, f"mine {live}", "me") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r["spans"] for r in secrets.scan(docs).collect()} == {"entropy:5:25"}
+    assert {r["text"] for r in secrets.redact(docs).collect()} == {"mine [ENTROPY]"}
+
+
+def _pem(seed, kind="RSA ", end=True):
+    body = "\n".join(hashlib.sha256(f"{seed}.{i}".encode()).hexdigest().upper() + "q9+/" for i in range(6))
+    return f"-----BEGIN {kind}PRIVATE KEY-----\n{body}\n" + (f"-----END {kind}PRIVATE KEY-----" if end else "")
+
+
+def test_private_keys_go_whole(spark):
+    """Keys share their headers, not their bodies."""
+    keys = [_pem(i, kind) for i, kind in enumerate(["RSA ", "", "EC ", "OPENSSH ", "RSA "])]
+    keys.append(keys[0].replace("RSA PRIVATE KEY-----\n", "RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n", 1))
+    rows = [(i, f"before {k} after", f"owner{i}") for i, k in enumerate(keys)]
+    shared = _pem("example")
+    rows += [(10 + i, f"see {shared} there", f"owner{i}") for i in range(3)]
+    rows += [(20, f"cut {_pem('cut', end=False)}- next words", "me"), (21, f"secret = \"{_pem('named')}\"", "me")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert {got[i] for i in range(len(keys))} == {"before [FORMAT] after"}
+    assert got[10] == f"see {shared} there"
+    assert got[20] == "cut [FORMAT]\n- next words"
+    assert got[21] == "[ASSIGN][FORMAT]\""
+
+
 def test_redaction(spark, edge, empty):
     docs = spark.createDataFrame(
         [(1, "é token=abcdef12 end", "a"), (2, "clean", "a"), (3, None, None), (1, "é token=abcdef12 end", "a")],

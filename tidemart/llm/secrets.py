@@ -3,8 +3,12 @@
 One pass finds candidates in each text: the three base kinds, credentials of known formats, and
 long mixed tokens of high entropy. Candidates are hashed; per hash the distinct repositories and
 owners are counted over the whole corpus. A value that many owners hold is a widely copied example;
-one that a single owner or two hold looks live. Base spans always stay. Other candidates become
-spans only if they look live.
+one that a single owner or two hold looks live, however many copies they have. Base spans always
+stay. Other candidates become spans only if they look live.
+
+A private key counts from BEGIN to END, so its value is the key and not its header. Without an END
+it reaches as far as its lines do. Base spans inside are left out of its span, which then comes in
+parts.
 
 A value may occur in a third of all documents: counts are grouped by (hash, owner, repository)
 first, so a hash reaches the last grouping once per owner, and the join back may split it.
@@ -40,14 +44,16 @@ FORMAT = re.compile(
     r"gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{50,}|glpat-[A-Za-z0-9_-]{20,}"
     r"|xox[abprs]-[A-Za-z0-9-]{20,}|sk_(?:live|test)_[A-Za-z0-9]{16,}|sk-[A-Za-z0-9_-]{32,}"
     r"|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
-    r"|-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
+    r"|-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:(?>[^-]*(?:-(?!----)[^-]*)*)-----END [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?>(?:\\[rn]|[\s\"'+,])*[A-Za-z0-9+/=]{16,})*)")
 FORMAT_SIGNS = ("gh", "glpat-", "xox", "sk_", "sk-", "AIza", "eyJ", "-----BEGIN")
 LONG = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 KEYWORD = re.compile(r"(?ai:passw|secret|token|api_?key)")
 #: A candidate token mixes cases and digits and has at least so many bits per character.
 BITS = 3.5
-#: From so many owners on, or repositories, a value is a widely copied example.
-OWNERS, REPOSITORIES = 3, 50
+#: From so many owners on a value is a widely copied example.
+OWNERS = 3
 
 
 def entropy(value: str) -> float:
@@ -71,12 +77,25 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
         if not v.isalpha() and any(c.isdigit() for c in v) and any("A" <= c <= "Z" for c in v) and any(
                 "a" <= c <= "z" for c in v) and entropy(v) >= BITS:
             more.append((m.start(), 4, m.end(), v))
+    more = [part for x in more for part in (_beside(x, found) if x[3].startswith("-----") else [x])]
     for x in more:  # one span per place
         if all(x[2] <= y[0] or y[2] <= x[0] for y in found):
             found.append(x)
     return sorted(found)
 
 
+def _beside(key: tuple[int, int, int, str], found: list[tuple[int, int, int, str]]):
+    """The parts of a private key that no other span covers, each with the value of the whole."""
+    at, kind, until, value = key
+    for start, _, end, _ in sorted(found):
+        if end > at and start < until:
+            if start > at:
+                yield at, kind, start, value
+            at = max(at, end)
+    if at < until:
+        yield at, kind, until, value
+
+
 def joined(spans) -> str:
     return ",".join(f"{KINDS[k]}:{start}:{end}" for start, k, end, *_ in spans)
 
@@ -125,7 +144,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     entry = F.struct(
         "f.start", "f.kind", "f.end", F.col("f.value").alias("sha256"), "owners", "repositories",
-        ((F.col("owners") < OWNERS) & (F.col("repositories") < REPOSITORIES)).alias("live"))
+        (F.col("owners") < OWNERS).alias("live"))
     judged = (
         each.join(frequency, F.col("f.value") == F.col("_value"))
         .groupBy("_row", "doc_id", "_text_hash", "base_spans")
