@@ -12,6 +12,7 @@ from tidemart.llm.secrets import op10_secrets
 from tidemart.llm.sharding import op6_shard
 from tidemart.llm.simhash import op1_simhash
 from tidemart.llm.warc import OP4_SQL, op4_warc
+from tidemart.llm.whitening import op11_whiten
 
 QUERIES = {
     "op1_simhash": op1_simhash,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_ngrams": op9_ngrams,
     "op10_secrets": op10_secrets,
+    "op11_whiten": op11_whiten,
 }
 
 ORACLES = {"op2_quality": OP2_SQL, "op4_warc": OP4_SQL, "op5_mix": OP5_SQL, "op7_search": OP7_SQL}
