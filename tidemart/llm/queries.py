@@ -11,6 +11,7 @@ from tidemart.llm.search import OP7_SQL, op7_search
 from tidemart.llm.secrets import op10_secrets
 from tidemart.llm.sharding import op6_shard
 from tidemart.llm.simhash import op1_simhash
+from tidemart.llm.spelling import op12_spelling
 from tidemart.llm.warc import OP4_SQL, op4_warc
 from tidemart.llm.whitening import op11_whiten
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_ngrams": op9_ngrams,
     "op10_secrets": op10_secrets,
     "op11_whiten": op11_whiten,
+    "op12_spelling": op12_spelling,
 }
 
 ORACLES = {"op2_quality": OP2_SQL, "op4_warc": OP4_SQL, "op5_mix": OP5_SQL, "op7_search": OP7_SQL}
