@@ -7,6 +7,7 @@ from tidemart.llm.mixing import OP5_SQL, op5_mix
 from tidemart.llm.ngrams import op9_ngrams
 from tidemart.llm.packing import op3_pack
 from tidemart.llm.quality import OP2_SQL, op2_quality
+from tidemart.llm.repeats import op13_repeats
 from tidemart.llm.search import OP7_SQL, op7_search
 from tidemart.llm.secrets import op10_secrets
 from tidemart.llm.sharding import op6_shard
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_whiten": op11_whiten,
     "op12_spelling": op12_spelling,
+    "op13_repeats": op13_repeats,
 }
 
 ORACLES = {"op2_quality": OP2_SQL, "op4_warc": OP4_SQL, "op5_mix": OP5_SQL, "op7_search": OP7_SQL}
