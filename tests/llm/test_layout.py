@@ -176,6 +176,24 @@ def test_shards(spark, edge, empty):
     assert sharding.shard(empty).count() == 0
 
 
+def test_middle_lies_inside():
+    near = [(-7759772254953089058, -7687749143748030744), (-3, -2), (-1, 0), (0, 1), ((1 << 63) - 2, (1 << 63) - 1),
+            (-(1 << 63), (1 << 63) - 1)]
+    for low, high in near:
+        assert low < sharding._middle((low, 5), (high, 1))[0] <= high
+        assert sharding._middle((7, low), (7, high))[0] == 7
+        assert low < sharding._middle((7, low), (7, high))[1] <= high
+
+
+@pytest.mark.parametrize("keys", [[(-7759772254953089058, 1), (-7687749143748030744, 2), (-7687749143748030744, 3)],
+                                  [(5, 9007199254740993), (5, 9007199254740994), (5, 9007199254740995)]])
+def test_ranges_that_doubles_cannot_cut(spark, keys, monkeypatch):
+    monkeypatch.setattr(sharding, "_sample", lambda *a: [])  # only the halving is left
+    rows = spark.createDataFrame([(*k, 1000) for k in keys], "_key long, _id long, size long")
+    found, sums = sharding.splitters(rows, 3000, 8)
+    assert len(sums) == len(set(keys)) and sum(s[2] for s in sums) == 3
+
+
 def test_a_hot_text_is_cut_by_id(spark):
     frame = spark.createDataFrame(
         [(i, "the same text" if i % 3 else f"text number {i}") for i in range(6000)], "doc_id long, text string")

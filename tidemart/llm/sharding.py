@@ -10,9 +10,11 @@ Rows are numbered within their short range only, whatever the size of the table:
 most about a gigabyte of text. The driver gets a few sampled keys and one row per range, 1,024
 ranges up to a terabyte and one per gigabyte beyond.
 
-Defined cases: null text has size 1 and the hash and checksum of an empty text; null ids sort
-first; rows equal in text and id cannot be told apart and stay in one range; an empty table gives
-no rows.
+Defined cases: null text has size 1 and the hash and checksum of an empty text; ids are whole
+numbers and null ids sort first; rows equal in text and id cannot be told apart and stay in one
+range; a text larger than two ranges fills a range with at most one range's worth of others; an
+empty table gives no rows. Columns other than the two named are not read, so their names cannot
+clash.
 """
 
 from __future__ import annotations
@@ -77,26 +79,33 @@ def splitters(keys: DataFrame, total: int, shards: int) -> tuple[list[tuple[int,
         placed = keys.withColumn("_range", _range_of(found)("_key", "_id"))
         sums = placed.groupBy("_range").agg(
             F.sum("size").alias("bytes"), F.count("*").alias("rows"),
+            F.max("size").alias("largest"),
             (F.min(F.struct("_key", "_id")) == F.max(F.struct("_key", "_id"))).alias("one")).collect()
-        over = [r["_range"] for r in sums if r["bytes"] > 2 * width and not r["one"]]
+        # One row beyond the width cannot be cut; what lies beside it may stay if it is less than a width.
+        over = [r["_range"] for r in sums
+                if r["bytes"] > 2 * width and r["bytes"] - r["largest"] > width and not r["one"]]
         if not over:
             return found, sorted((r["_range"], r["bytes"], r["rows"]) for r in sums)
         inside = placed.where(F.col("_range").isin(over))
         held = sum(r["bytes"] for r in sums if r["_range"] in set(over))
         sample = _sample(inside, held, max(64, int(held / width) * PER_RANGE * 4), seed)
         more = set(_quantiles(sample, width / 2)) | {s[:2] for s in sample if s[2] > width}
-        if seed > 4:  # sampling keeps missing: cut each range at its middle key, or middle id
+        if seed > 4:  # sampling keeps missing: halve the span of each range's keys, or of its ids
             for r in inside.groupBy("_range").agg(
                     F.min("_key").alias("low"), F.max("_key").alias("high"),
-                    F.percentile_approx("_key", 0.5).alias("mid"), F.min("_id").alias("low_id"),
-                    F.max("_id").alias("high_id"), F.percentile_approx("_id", 0.5).alias("mid_id")).collect():
-                if r["low"] < r["high"]:
-                    more.add((r["mid"] if r["mid"] > r["low"] else r["high"], LEAST))
-                else:
-                    more.add((r["low"], r["mid_id"] if r["mid_id"] > r["low_id"] else r["high_id"]))
+                    F.min("_id").alias("low_id"), F.max("_id").alias("high_id")).collect():
+                more.add(_middle((r["low"], r["low_id"]), (r["high"], r["high_id"])))
+            assert not more <= set(found), "every round cuts a range"
         found = sorted(set(found) | more)
 
 
+def _middle(low: tuple[int, int], high: tuple[int, int]) -> tuple[int, int]:
+    """A splitter above the lowest key and not above the highest; among ids where keys are equal."""
+    if low[0] < high[0]:
+        return (low[0] + high[0]) // 2 + 1, LEAST
+    return low[0], (low[1] + high[1]) // 2 + 1
+
+
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           shards: int = SHARDS) -> DataFrame:
     """Per row: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
