@@ -6,7 +6,9 @@ bytes inside a longer character, so words can be cut on bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +18,8 @@ from pyspark.sql import functions as F
 from tidemart.session import tune
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows per Arrow batch: long texts must fit a Python worker many times over.
-BATCH_ROWS = 512
+#: Rows and bytes per Arrow batch: long texts must fit a Python worker many times over.
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 #: Bytes of text handled at once inside a Python worker.
 CHUNK = 1 << 19
 
@@ -30,9 +32,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def in_batches(rows: DataFrame) -> DataFrame:
     """The rows, to be handed to Python in batches of few: texts are long."""
     rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return rows
 
 
+def give_back() -> None:
+    """Return freed memory to the machine; workers outlive their tasks and keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """A function over batches that gives memory back now and then, and when its task ends."""
+
+    @wraps(run)
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for n, out in enumerate(run(batches)):
+                yield out
+                if n % 8 == 7:
+                    give_back()
+        finally:
+            give_back()
+
+    return call
+
+
 def word_count(text: str) -> Column:
     """Words of a text column; 0 for null."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")

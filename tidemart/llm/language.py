@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import in_batches, pieces, table
+from tidemart.llm.common import give_back, in_batches, lean, pieces, table
 
 DIM_BITS = 12
 DIM = 1 << DIM_BITS
@@ -197,7 +197,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     taken = F.lit(False)
     for lang, n in sorted(counts.items()):
         taken = taken | ((F.col("lang") == lang) & (F.col("_draw") < each / n))
-    found = in_batches(rows.where(taken).drop("_draw")).mapInArrow(_features, "lang string, cells binary").collect()
+    found = in_batches(rows.where(taken).drop("_draw")).mapInArrow(lean(_features), "lang string, cells binary").collect()
     found.sort(key=lambda r: (r[0], bytes(r[1])))  # the fit must not depend on the order of arrival
     return Model([r[0] for r in found], np.array([_unpack(r[1]) for r in found]).reshape(-1, DIM))
 
@@ -215,6 +215,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             langs, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         else:
             langs, score = model.predict(array)
+        give_back()
         return pd.DataFrame({
             "lang_pred": [UNKNOWN if e else v for e, v in zip(empty, langs)],
             "score": np.where(empty, 0.0, score)})

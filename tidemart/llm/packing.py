@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import chunks, in_batches, table
+from tidemart.llm.common import chunks, in_batches, lean, table
 
 CAPACITY = 4096
 #: Windows per pool, and the part of them that a pool fills.
@@ -281,7 +281,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = in_batches(texts).mapInArrow(
-        run, f"sequence_id long, offset long, doc_id {kind.simpleString()}, start long, ids binary, doc_tokens long")
+        lean(run), f"sequence_id long, offset long, doc_id {kind.simpleString()}, start long, ids binary, doc_tokens long")
     return out.select(
         "doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("length"), "ids", "doc_tokens",
         "sequence_id", "offset")

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import _mix, chunks, in_batches, table
+from tidemart.llm.common import _mix, chunks, in_batches, lean, table
 from tidemart.session import written
 
 WINDOW = 50
@@ -107,7 +107,7 @@ def _keys_of(window: int, prefix: int):
                 "doc_id": part.column("doc_id"), "digest": part.column("digest"),
                 "keys": pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pairs)})
 
-    return run
+    return lean(run)
 
 
 def _window_hashes(values: np.ndarray, window: int) -> list[np.ndarray]:
@@ -178,7 +178,7 @@ def _suffixes(window: int, prefix: int):
                 "words": pa.array([w for ws in out["words"] for w in ws], pa.binary()),
                 "a": np.concatenate(out["a"]), "b": np.concatenate(out["b"])})
 
-    return run
+    return lean(run)
 
 
 class Subtree:
@@ -256,7 +256,7 @@ def _trees(window: int):
         if ready or group:
             yield spans(ready + group)
 
-    return run
+    return lean(run)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -327,7 +327,7 @@ def _cut(window: int, keep_text: bool):
                 "n_removed": pa.array(removed, pa.int64()),
                 ("kept_text" if keep_text else "kept_sha256"): pa.array(results, pa.string())})
 
-    return run
+    return lean(run)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,

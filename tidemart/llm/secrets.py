@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import in_batches, table
+from tidemart.llm.common import in_batches, lean, table
 from tidemart.operators.relational import broadcast_if_small
 from tidemart.session import written
 
@@ -133,7 +133,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(repo_col).cast("string").alias("_repo"), F.col(text_col).cast("string").alias("_text"))
     kept = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "_text")
     scanned = written(
-        in_batches(rows).mapInArrow(_scan, f"{kept}, base_spans string, _found {_FOUND}"), "secret-candidates")
+        in_batches(rows).mapInArrow(lean(_scan), f"{kept}, base_spans string, _found {_FOUND}"), "secret-candidates")
     each = scanned.where(F.size("_found") > 0).select(
         "_row", "doc_id", "_text_hash", "base_spans", "_owner", "_repo", F.explode("_found").alias("f"))
     frequency = (

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import _mix, in_batches, pieces, table
+from tidemart.llm.common import _mix, in_batches, lean, pieces, table
 from tidemart.operators.relational import broadcast_if_small
 from tidemart.session import written
 
@@ -116,7 +116,7 @@ def _fingerprints(k: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(made, pa.int64())], ["doc_id", "fp"])
 
-    return run
+    return lean(run)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -253,7 +253,7 @@ def _sketches(k: int):
                  pa.FixedSizeListArray.from_arrays(pa.array(columns[2:].T.ravel()), THINNED).cast(pa.list_(pa.int64()))],
                 ["doc_id", "shingles", "fp", "thinned"])
 
-    return run
+    return lean(run)
 
 
 def _sets(texts: pa.Array, k: int):
@@ -276,7 +276,7 @@ def _similar(k: int, least: float):
                 keep.append(union == 0 or both >= least * union)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return lean(run)
 
 
 def _listed(k: int):
@@ -285,7 +285,7 @@ def _listed(k: int):
             for own in _sets(batch.column("_text"), k):
                 yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["token"])
 
-    return run
+    return lean(run)
 
 
 def _prefixes(k: int, least: float, common):
@@ -312,7 +312,7 @@ def _prefixes(k: int, least: float, common):
                  *(pa.array(np.concatenate(x).astype(np.int64)) for x in (sizes, places, tokens))],
                 ["doc_id", "label", "size", "place", "token"])
 
-    return run
+    return lean(run)
 
 
 def _prefix_pairs(texts: DataFrame, shingles: int, k: int, similarity: float) -> DataFrame:

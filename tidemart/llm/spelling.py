@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import table
+from tidemart.llm.common import lean, table
 from tidemart.session import written
 
 RUN = "[A-Za-z\\u00C0-\\u00FF]+"
@@ -267,7 +267,7 @@ def near_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
         "side", "block", F.explode(F.when(F.col("asks"), own).otherwise(
             F.sequence(F.lit(0), F.col("_chunks") - 1))).alias("chunk"), "asks", "word", "n",
     ).repartition("side", "block", "chunk").sortWithinPartitions("side", "block", "chunk", "asks").mapInArrow(
-        _answer, "word string, near string, near_n long")
+        lean(_answer), "word string, near string, near_n long")
 
 
 def roots(words: DataFrame) -> DataFrame:
