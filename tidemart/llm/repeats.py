@@ -124,7 +124,8 @@ def _window_hashes(values: np.ndarray, window: int) -> list[np.ndarray]:
     return out
 
 
-_SUFFIXES = "key long, doc_id long, digest binary, start int, starts int, words binary, a long, b long"
+_SUFFIXES = ("key long, doc_id long, digest binary, start int, starts int, words binary, a long, b long, "
+             "places array<int>")
 
 
 def _suffixes(window: int, prefix: int):
@@ -136,10 +137,10 @@ def _suffixes(window: int, prefix: int):
                 continue
             shared = part.column("shared").to_pylist()
             texts = part.column("text").fill_null("")
-            out: dict[str, list] = {k: [] for k in ("row", "key", "start", "starts", "words", "a", "b")}
+            out: dict[str, list] = {k: [] for k in ("row", "key", "start", "starts", "words", "a", "b", "places")}
 
-            def add(row, key, start, starts, words, a, b):
-                for name, values in zip(out, (np.full(len(key), row), key, start, starts, words, a, b)):
+            def add(row, key, start, starts, words, a, b, places):
+                for name, values in zip(out, (np.full(len(key), row), key, start, starts, words, a, b, places)):
                     out[name].append(values)
 
             for row, values in _word_hashes(texts):
@@ -152,9 +153,13 @@ def _suffixes(window: int, prefix: int):
                 has = wanted[found] == keys
                 many = has & often[found]
                 if many.any():
-                    a, b = _window_hashes(values, window)
                     at = np.flatnonzero(many)
-                    add(row, keys[at].view(np.int64), at, np.ones(len(at), np.int64), [None] * len(at), a[at], b[at])
+                    a, b = (h[at] for h in _window_hashes(values, window))
+                    order = np.lexsort((b, a))  # a text that repeats a window sends it once
+                    at, a, b = at[order], a[order], b[order]
+                    new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+                    add(row, keys[at[new]].view(np.int64), at[new], np.ones(len(new), np.int64), [None] * len(new),
+                        a[new], b[new], np.split(at, new[1:]))
                 few = has & ~many
                 new = few.copy()
                 new[1:] &= ~few[:-1] | (places[1:] != places[:-1])
@@ -166,7 +171,7 @@ def _suffixes(window: int, prefix: int):
                     words = texts[row].as_py().encode().split()
                     add(row, keys[at].view(np.int64), at, count,
                         [b" ".join(words[i:i + n + window - 1]) for i, n in zip(at.tolist(), count.tolist())],
-                        np.zeros(len(at), np.int64), np.zeros(len(at), np.int64))
+                        np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), [at[:0]] * len(at))
             if not out["row"]:
                 continue
             rows = pa.array(np.concatenate(out["row"]).astype(np.int64))
@@ -176,7 +181,8 @@ def _suffixes(window: int, prefix: int):
                 "start": np.concatenate(out["start"]).astype(np.int32),
                 "starts": np.concatenate(out["starts"]).astype(np.int32),
                 "words": pa.array([w for ws in out["words"] for w in ws], pa.binary()),
-                "a": np.concatenate(out["a"]), "b": np.concatenate(out["b"])})
+                "a": np.concatenate(out["a"]), "b": np.concatenate(out["b"]),
+                "places": pa.array([p.tolist() for ps in out["places"] for p in ps], pa.list_(pa.int32()))})
 
     return lean(run)
 
@@ -289,12 +295,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id", "digest", "text", "shared")).mapInArrow(_suffixes(window, prefix), _SUFFIXES), "suffixes")
     few = suffixes.where("words is not null").select("key", "doc_id", "digest", "start", "starts", "words")
     found = few.repartition("key").sortWithinPartitions("key").mapInArrow(_trees(window), _SPANS)
-    often = suffixes.where("words is null").select("doc_id", "digest", "start", "a", "b")
+    often = suffixes.where("words is null").select("doc_id", "digest", "places", "a", "b")
     least = often.groupBy("a", "b").agg(F.min("doc_id").alias("least"))
-    hashed = often.join(least, ["a", "b"]).where("doc_id > least").select(
-        "doc_id", "digest", F.col("start").alias("first"), F.col("start").alias("last"))
-    spans = found.union(hashed).groupBy("doc_id", "digest").agg(
-        F.collect_list(F.struct("first", "last")).alias("spans"))  # at most a span per word of the text
+    hashed = often.join(least, ["a", "b"]).where("doc_id > least").select("doc_id", "digest", F.transform(
+        "places", lambda p: F.struct(p.alias("first"), p.alias("last"))).alias("spans"))
+    spans = found.select("doc_id", "digest", F.array(F.struct("first", "last")).alias("spans")).union(hashed).groupBy(
+        "doc_id", "digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # a span per word at most
     none = F.array().cast("array<struct<first:int,last:int>>")
     return spans.select("doc_id", "digest", F.lit(False).alias("copy"), "spans").union(
         copies.select("doc_id", "digest", F.lit(True), none))
