@@ -13,14 +13,14 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
+    DecisionTreeClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.scalars import hash_unit
+from tidemart.learn.boosting import HistogramBoosting
 from tidemart.learn.prep import with_fold
 from tidemart.operators.neighbours import bagged_votes
 from tidemart.session import checkpoint_ready
@@ -50,31 +50,19 @@ class SparkModel:
 
 
 class SparkLearner:
-    def __init__(self, build: Callable, validation: float = 0.0, seed: int = 42):
-        self.build, self.validation, self.seed = build, validation, seed
+    def __init__(self, build: Callable):
+        self.build = build
 
     def fit(self, train: DataFrame) -> SparkModel:
         checkpoint_ready(train.sparkSession)
-        if self.validation:
-            held = hash_unit("early", self.seed, "label", "row_id") < self.validation
-            if "synthetic" in train.columns:
-                held = held & ~F.col("synthetic")
-            train = train.withColumn("held_out", held)
         return SparkModel(self.build(train).fit(train))
 
 
 def gradient_boosting(rounds: int = 1000, depth: int = 4, rate: float = 0.1,
                       rows: float = 0.8, cols: float = 0.8, gain: float = 0.0,
-                      child: int = 1, seed: int = 42) -> SparkLearner:
-    """Boosted trees, stopped when the held-out tenth no longer improves."""
-    return SparkLearner(
-        lambda train: GBTClassifier(
-            labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=rate,
-            subsamplingRate=rows, featureSubsetStrategy=str(cols), minInfoGain=gain,
-            minInstancesPerNode=child, validationIndicatorCol="held_out", seed=seed,
-        ),
-        validation=0.1, seed=seed,
-    )
+                      child: float = 1, l1: float = 0.0, l2: float = 1.0, seed: int = 42) -> HistogramBoosting:
+    """Penalised boosted trees, stopped when the held-out tenth no longer improves."""
+    return HistogramBoosting(rounds, depth, rate, rows, cols, gain, child, l1, l2, seed=seed)
 
 
 def logistic(c: float = 1.0, penalty: str = "l2", rounds: int = 1000) -> SparkLearner:

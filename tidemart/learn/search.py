@@ -157,6 +157,7 @@ LOGISTIC_GRID = [
 BOOSTING_SPACE = {
     "depth": ("int", 3, 6), "rate": ("log", 0.01, 0.2), "rows": ("real", 0.6, 0.9),
     "cols": ("real", 0.6, 0.9), "gain": ("real", 0.0, 5.0), "child": ("int", 1, 10),
+    "l1": ("log", 0.01, 10.0), "l2": ("log", 0.01, 10.0),
 }
 TREE_SPACE = {
     "criterion": ("pick", ["gini", "entropy"]), "leaf": ("int", 2, 35), "depth": ("int", 3, 20),

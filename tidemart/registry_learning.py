@@ -464,7 +464,7 @@ over_star("gaussian_nb_plain", plain_bayes, _churn(
 ))
 model_query("churn_gaussian_nb", models.GaussianNaiveBayes)
 model_query("churn_pca_nb", lambda: models.Projected(models.GaussianNaiveBayes(), 10))
-model_query("churn_boosting", lambda: models.gradient_boosting(rounds=30))
+model_query("churn_boosting", models.gradient_boosting)
 model_query("churn_logistic", lambda: models.logistic(c=1.0))
 model_query("churn_kernel_svc", lambda: models.KernelSVC(rounds=30))
 model_query("churn_decision_tree", models.decision_tree)
