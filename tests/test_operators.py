@@ -207,29 +207,69 @@ def _points(spark, n, seed, dim=3):
     )
 
 
-def test_neighbours_in_one_leaf_are_exact(spark):
-    data, df = _points(spark, 60, 1)
-    rows = neighbours.nearest(df, 4, 60, 3).collect()
-    for r in rows:
-        gaps = np.linalg.norm(data - np.array(r["vec"]), axis=1)
-        gaps[r["id"]] = np.inf
-        want = np.sort(gaps)[:4]
-        assert [n["d"] for n in r["neighbours"]] == pytest.approx(want, abs=1e-6)
-
-
-def test_neighbours_over_many_leaves_stay_bounded_and_close(spark):
-    data, df = _points(spark, 900, 2)
-    asked, held = neighbours.leaves(df, df, 900, 3, 7, leaf=32)
-    sizes = [r["count"] for r in held.groupBy("cell").count().collect()]
-    assert asked.count() == 900 and max(sizes) < 100
-    rows = neighbours.nearest(df, 3, 900, 3, trees=4, leaf=64).collect()
-    assert len(rows) == 900
-    close = 0
-    for r in rows:
-        gaps = np.linalg.norm(data - np.array(r["vec"]), axis=1)
-        gaps[r["id"]] = np.inf
-        close += r["neighbours"][0]["d"] <= np.sort(gaps)[2] + 1e-6
-    assert close > 600
+def _brute(asked, data, k, metric, others):
+    gaps = neighbours.distances(asked[1], data, metric)
+    if others:
+        gaps[np.arange(len(asked[0])), asked[0]] = np.inf
+    ids = np.arange(len(data))
+    return {int(i): [(float(g[j]), int(j)) for j in np.lexsort((ids, g))[:k] if np.isfinite(g[j])]
+            for i, g in zip(asked[0], gaps)}
+
+
+def _found(frame):
+    out = {}
+    for r in frame.collect():
+        out.setdefault(r["id"], []).append((r["d"], r["j"]))
+    return {i: sorted(v) for i, v in out.items()}
+
+
+@pytest.mark.parametrize("metric", neighbours.METRICS)
+@pytest.mark.parametrize("n, block", [(3, 1024), (100, 1024), (100, 16), (5000, 256)])
+def test_neighbours_equal_brute_force(spark, n, block, metric):
+    data, df = _points(spark, n, n)
+    want = _brute((np.arange(n), data), data, 4, metric, True)
+    assert _found(neighbours.nearest(df, df, 4, metric, others=True, block=block)) == want
+
+
+def test_neighbours_among_many_rows(spark):
+    data, df = _points(spark, 50_000, 5, 4)
+    queries = df.filter("id % 250 = 7")
+    ids = np.arange(7, 50_000, 250)
+    assert _found(neighbours.nearest(queries, df, 5)) == _brute((ids, data[ids]), data, 5, "euclidean", False)
+
+
+def test_neighbours_prune_where_rows_form_clusters(spark):
+    rng = np.random.default_rng(4)
+    data = (rng.integers(0, 40, 4000)[:, None] * 100.0 + rng.normal(size=(4000, 3))).round(3)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id long, vec array<double>")
+    want = _brute((np.arange(4000), data), data, 3, "manhattan", True)
+    assert _found(neighbours.nearest(df, df, 3, "manhattan", others=True, block=64)) == want
+
+
+@pytest.mark.parametrize("n, block, weighted, metric", [
+    (40, 1024, False, "euclidean"), (700, 64, True, "manhattan"), (700, 1024, False, "euclidean")])
+def test_bagged_votes_equal_brute_force(spark, n, block, weighted, metric):
+    data, df = _points(spark, n, 9)
+    label = (np.arange(n) % 3 == 0).astype(float)
+    rows = df.join(spark.createDataFrame([(i, float(v)) for i, v in enumerate(label)], "id long, label double"), "id")
+    queries = df.filter("id % 5 = 0")
+    k, bags, share = 5, 6, 0.4
+    found = {r["id"]: r["votes"] for r in neighbours.bagged_votes(
+        queries, rows, k, bags, share, weighted, metric, block=block).collect()}
+    gaps, ids = neighbours.distances(data, data, metric), np.arange(n)
+    copies = neighbours._copies(ids, bags, share, 42)
+    assert abs(copies.mean() - share) < 0.1
+    for i in range(0, n, 5):
+        votes = []
+        for bag in range(bags):
+            took, ones, total = 0, 0.0, 0.0
+            for j in np.lexsort((ids, gaps[i])):
+                use = min(copies[j, bag], k - took)
+                weight = use / max(gaps[i, j], 1e-9) if weighted else use
+                took, ones, total = took + use, ones + weight * label[j], total + weight
+            votes.append(ones / total if total else 0.5)
+        assert found[i] == pytest.approx(np.mean(votes), abs=1e-9)
+    assert len(found) == len(range(0, n, 5))
 
 
 def test_candidate_lists(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.scalars import hash_unit, surrogate_key
 from tidemart.operators.neighbours import nearest
 from tidemart.operators.quantiles import exact_quantiles
+from tidemart.session import written
 
 
 def class_counts(df: DataFrame, label: str) -> dict[int, int]:
@@ -53,7 +54,8 @@ def neighbour_count(minority: int, k: int = 5) -> int:
     return min(k, max(1, minority - 1))
 
 
-def smote(df: DataFrame, label: str, row_id: str, k: int = 5, seed: int = 42) -> DataFrame:
+def smote(df: DataFrame, label: str, row_id: str, k: int = 5, seed: int = 42,
+          metric: str = "euclidean") -> DataFrame:
     """Add minority rows between a row and one of its nearest minority neighbours.
 
     ``df`` has a unique long ``row_id`` and a ``features`` vector. New rows get an identifier
@@ -68,14 +70,17 @@ def smote(df: DataFrame, label: str, row_id: str, k: int = 5, seed: int = 42) ->
     minority = df.filter(F.col(label) == small).select(
         F.col(row_id).alias("id"), vector_to_array("features").alias("vec")
     )
-    dim = len(minority.first()["vec"])
-    near = nearest(minority, neighbour_count(n, k), n, dim, seed)
-    starts = _copies(near, minority, wanted, n, seed, "id")
+    minority = written(minority, "minority")
+    near = nearest(minority, minority, neighbour_count(n, k), metric, others=True)
+    # At most k ids a row; the chosen neighbour's vector is looked up once per new row.
+    near = near.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("d", "j"))).alias("neighbours"))
+    starts = _copies(minority.join(near, "id", "left"), minority, wanted, n, seed, "id")
     pick = F.floor(hash_unit("neighbour", seed, "id", "copy") * F.size("neighbours")).cast("int")
-    other = F.get("neighbours", pick)["v"]
+    starts = starts.withColumn("_j", F.get("neighbours", pick)["j"]).join(
+        minority.select(F.col("id").alias("_j"), F.col("vec").alias("_other")), "_j", "left")
     gap = hash_unit("gap", seed, "id", "copy")
     mixed = F.zip_with(
-        F.col("vec"), F.coalesce(other, F.col("vec")), lambda a, b: a + gap * (b - a)
+        F.col("vec"), F.coalesce("_other", F.col("vec")), lambda a, b: a + gap * (b - a)
     )
     fresh = starts.select(
         F.xxhash64("id", "copy").alias(row_id), F.lit(small).cast(df.schema[label].dataType).alias(label),

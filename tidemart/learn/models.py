@@ -235,27 +235,26 @@ class BaggedNeighbours:
     """k-nearest votes over bootstrap bags; the training rows are the model."""
 
     def __init__(self, k: int = 5, bags: int = 10, share: float = 1.0, weights: str = "uniform",
-                 seed: int = 42):
+                 metric: str = "euclidean", seed: int = 42):
         self.k, self.bags, self.share, self.weights, self.seed = k, bags, share, weights, seed
+        self.metric = metric
 
     def fit(self, train: DataFrame) -> NeighbourModel:
         rows = train.select(
             F.col("row_id").alias("id"), vector_to_array("features").alias("vec"), "label"
         )
-        dim = len(rows.first()["vec"])
-        return NeighbourModel(self, rows, rows.count(), dim)
+        return NeighbourModel(self, rows)
 
 
 class NeighbourModel:
-    def __init__(self, how: BaggedNeighbours, rows: DataFrame, n: int, dim: int):
-        self.how, self.rows, self.n, self.dim = how, rows, n, dim
+    def __init__(self, how: BaggedNeighbours, rows: DataFrame):
+        self.how, self.rows = how, rows
 
     def transform(self, df: DataFrame) -> DataFrame:
         how = self.how
         asked = df.select(F.col("row_id").alias("id"), vector_to_array("features").alias("vec"))
         votes = bagged_votes(
-            asked, self.rows, how.k, self.n, self.dim, how.bags, how.share,
-            how.weights == "distance", how.seed,
+            asked, self.rows, how.k, how.bags, how.share, how.weights == "distance", how.metric, how.seed,
         )
         joined = df.join(votes.withColumnRenamed("id", "row_id"), "row_id", "left")
         return _decided(joined, F.col("votes")).drop("votes")

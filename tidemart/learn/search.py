@@ -174,6 +174,6 @@ STACKING_SPACE = {
 }
 NEIGHBOUR_SPACE = {
     "bags": ("int", 10, 50), "share": ("real", 0.6, 1.0), "k": ("int", 3, 15),
-    "weights": ("pick", ["uniform", "distance"]),
+    "weights": ("pick", ["uniform", "distance"]), "metric": ("pick", ["euclidean", "manhattan"]),
 }
 TRIALS = {"boosting": 25, "tree": 50, "forest": 35, "stacking": 5, "neighbours": 5}

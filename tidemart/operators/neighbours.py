@@ -1,192 +1,240 @@
-"""Nearest neighbours over partition trees with bounded leaves.
-
-Rows are cut along random directions at quantiles until a leaf is small enough for one task;
-rows that cannot be told apart are dealt out by hash. Leaves are bounded whatever the data
-looks like, and each row is compared with its leaf only, so the work grows with rows times
-leaf size. When everything fits one leaf the result is exact.
+"""Exact nearest neighbours by a two-round metric join over Voronoi cells.
+
+Pivots are corpus rows chosen by hash; every row belongs to its nearest pivot. A cell is cut by
+hash into blocks of at most about BLOCK rows. In the first round a query meets one block of its own
+cell, which bounds the distance of its k-th neighbour. By the triangle inequality a cell can hold
+something nearer only if the query is within that distance of the cell's radius and of the plane
+between the two pivots; the second round sends each query to the blocks of those cells alone. The
+best k of both rounds are the answer, whatever the number of rows: there is no other method for
+small or large tables. Of equal corpus rows only the few with the smallest ids take part.
+
+A task reads a block, then answers its questions as they stream by; a block with many questions is
+sent once for every ASKED of them. Where the bounds cannot tell cells apart, as in many
+dimensions, the join does compare all pairs, block by block. Distances are summed dimension by
+dimension, so they equal a plain computation to the last bit; ties go to the smaller id.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.operators.relational import broadcast_if_small
 from tidemart.session import written
 
-LEAF = 2048
-FANOUT = 32
-
-
-def _direction(dim: int, seed: int) -> list[float]:
-    v = np.random.default_rng(seed).standard_normal(dim)
-    return [float(x) for x in v / np.linalg.norm(v)]
-
-
-def _project(vector: str, direction: list[float]) -> Column:
-    axis = F.array(*[F.lit(x) for x in direction])
-    products = F.zip_with(F.col(vector), axis, lambda a, b: a * b)
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-
-
-def plant(corpus: DataFrame, n: int, dim: int, seed: int, leaf: int = LEAF):
-    """Cut tables of one tree: per level, node -> quantile cuts along that level's direction."""
-    levels = max(0, math.ceil(math.log(max(n / leaf, 1), FANOUT)))
-    probs = [i / FANOUT for i in range(1, FANOUT)]
-    tables, rows = [], corpus.withColumn("node", F.lit("r"))
-    for level in range(levels):
-        axis = _direction(dim, seed + level)
-        cuts = rows.groupBy("node").agg(
-            F.count(F.lit(1)).alias("n_node"),
-            F.percentile_approx(_project("vec", axis), probs, F.lit(1000)).alias("cuts"),
-            F.max(_project("vec", axis)).alias("far"),
-        ).filter(F.col("n_node") > leaf).drop("n_node")
-        # Written, the table is computed once and its true size decides on broadcasting.
-        cuts = written(cuts, "cuts")
-        tables.append((axis, cuts))
-        rows = _descend(rows, axis, cuts)
-    return tables
-
-
-def _descend(rows: DataFrame, axis: list[float], cuts: DataFrame) -> DataFrame:
-    # A query beyond the node's farthest row follows that row, so it never meets an empty leaf.
-    place = F.least(_project("vec", axis), F.col("far"))
-    child = F.size(F.filter("cuts", lambda c: c < place))
-    return (
-        rows.join(broadcast_if_small(cuts), "node", "left")
-        .withColumn(
-            "node",
-            F.when(F.col("cuts").isNull(), F.col("node")).otherwise(
-                F.concat_ws(".", "node", child.cast("string"))
-            ),
-        )
-        .drop("cuts", "far")
-    )
-
-
-def _route(rows: DataFrame, tables) -> DataFrame:
-    rows = rows.withColumn("node", F.lit("r"))
-    for axis, cuts in tables:
-        rows = _descend(rows, axis, cuts)
-    return rows
-
-
-def leaves(queries: DataFrame, corpus: DataFrame, n: int, dim: int, seed: int,
-           leaf: int = LEAF) -> tuple[DataFrame, DataFrame]:
-    """Queries and corpus with the ``cell`` in which they meet.
-
-    A corpus leaf that is still too large (rows that no direction separates) is dealt into
-    parts by hash and each query goes to one part. A part with many queries is met in several
-    cells, each with a copy of the part: one corpus row copied per leaf of queries, at most.
-    """
-    tables = plant(corpus, n, dim, seed, leaf)
-    corpus, queries = _route(corpus, tables), _route(queries, tables)
-
-    def size(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("node").agg(F.count(F.lit(1)).alias(name))
-
-    n_parts = F.ceil(F.col("n_corpus") / F.lit(float(leaf))).cast("int")
-    n_chunks = F.ceil(F.col("n_queries") / (F.col("n_parts") * F.lit(float(leaf)))).cast("int")
-    plan = size(corpus, "n_corpus").join(size(queries, "n_queries"), "node").select(
-        "node", n_parts.alias("n_parts"), "n_queries"
-    ).select("node", "n_parts", n_chunks.alias("n_chunks"))
-    plan = broadcast_if_small(written(plan, "leaves"))
-    dealt = F.pmod(F.xxhash64("id"), F.col("n_parts"))
-    chunk = F.pmod(F.xxhash64("id", F.lit(1)), F.col("n_chunks"))
-    cell = F.concat_ws("/", "node", F.col("part").cast("string"), F.col("chunk").cast("string"))
-    held = corpus.join(plan, "node").withColumn("part", dealt).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1))
-    ).withColumn("cell", cell).drop("node", "part", "chunk", "n_parts", "n_chunks")
-    asked = queries.join(plan, "node").withColumn("part", dealt).withColumn(
-        "chunk", chunk
-    ).withColumn("cell", cell).drop("node", "part", "chunk", "n_parts", "n_chunks")
-    # Fresh column identities let the two sides come from the same frame.
-    return asked, held.select(*[F.col(c).alias(c) for c in held.columns])
-
-
-def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    gaps = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.sqrt(np.maximum(gaps, 0.0))
-
-
-def nearest(rows: DataFrame, k: int, n: int, dim: int, seed: int = 42, trees: int = 4,
-            leaf: int = LEAF) -> DataFrame:
-    """(id, vec, neighbours): each row with its ``k`` nearest others, closest first.
-
-    ``rows`` has a unique long ``id`` and a double array ``vec``. Neighbours are
-    (distance, id, vec). Several trees are searched unless one leaf holds everything.
-    """
+#: Corpus rows of a block, and questions answered by one copy of it.
+BLOCK, ASKED = 1024, 512
+#: Most pivots; beyond, cells have more blocks.
+PIVOTS = 1024
+METRICS = ("euclidean", "manhattan")
+
+
+def distances(a: np.ndarray, b: np.ndarray, metric: str = "euclidean") -> np.ndarray:
+    total = np.zeros((len(a), len(b)))
+    for i in range(a.shape[1]):
+        gap = a[:, i, None] - b[None, :, i]
+        total += gap * gap if metric == "euclidean" else np.abs(gap)
+    return np.sqrt(total) if metric == "euclidean" else total
+
+
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
 
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or len(right) < 2:
-            return pd.DataFrame({"id": [], "near": []})
-        a, b = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-        gaps = distances(a, b)
-        ids = right["id"].to_numpy()
-        gaps[left["id"].to_numpy()[:, None] == ids[None, :]] = np.inf
+def _placed(pivots: np.ndarray, metric: str):
+    """Nearest pivot of every row, and its distance."""
+
+    @F.pandas_udf("cell int, away double")
+    def place(vectors: pd.Series) -> pd.DataFrame:
+        if not len(vectors):
+            return pd.DataFrame({"cell": [], "away": []})
+        gaps = distances(np.stack(vectors.to_numpy()), pivots, metric)
+        at = gaps.argmin(1)
+        return pd.DataFrame({"cell": at.astype(np.int32), "away": gaps[np.arange(len(at)), at]})
+
+    return place
+
+
+def _worth(pivots: np.ndarray, radius: np.ndarray, blocks: np.ndarray, metric: str):
+    """(cell, block) other than the first block of the query's own cell that may hold something nearer."""
+    between = distances(pivots, pivots, metric)
+
+    @F.pandas_udf("array<struct<cell:int,block:int>>")
+    def ask(vectors: pd.Series, own: pd.Series, floor: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype=object)
+        gaps, own, floor = distances(np.stack(vectors.to_numpy()), pivots, metric), own.to_numpy(), floor.to_numpy()
+        mine = gaps[np.arange(len(own)), own][:, None]
+        # Nothing in the cell is nearer than the edge of its ball or the surface between the pivots.
+        least = np.maximum(gaps - radius[None, :], (gaps - mine) / 2)
+        if metric == "euclidean":
+            apart = between[own]
+            plane = (gaps ** 2 - mine ** 2) / np.where(apart > 0, 2 * apart, np.inf)
+            least = np.maximum(least, plane)
+        near = least <= floor[:, None] + 1e-9 * (1 + gaps)
         out = []
-        for row in gaps:
-            order = np.lexsort((ids, row))[:k]
-            out.append([
-                {"distance": float(row[j]), "id": int(ids[j]), "vec": b[j].tolist()}
-                for j in order if np.isfinite(row[j])
-            ])
-        return pd.DataFrame({"id": left["id"], "near": out})
-
-    shape = "id long, near array<struct<distance double, id long, vec array<double>>>"
-    found = None
-    for tree in range(trees if n > leaf else 1):
-        asked, held = leaves(rows, rows, n, dim, seed + 1000 * tree, leaf)
-        one = asked.groupBy("cell").cogroup(held.groupBy("cell")).applyInPandas(search, shape)
-        found = one if found is None else found.unionByName(one)
-    # At most trees * k entries per row come together here.
-    merged = found.select("id", F.inline("near").alias("d", "j", "v")).groupBy("id").agg(
-        F.slice(
-            F.sort_array(F.collect_set(F.struct("d", "j", "v"))), 1, k
-        ).alias("neighbours")
-    )
-    return rows.select("id", "vec").join(merged, "id", "left")
-
-
-def bagged_votes(queries: DataFrame, corpus: DataFrame, k: int, n: int, dim: int, bags: int,
-                 share: float = 1.0, weighted: bool = False, seed: int = 42,
-                 leaf: int = LEAF) -> DataFrame:
-    """(id, probability of class 1): k-nearest votes averaged over bootstrap bags.
-
-    Distances are computed once per leaf. A bag holds each corpus row a Poisson number of
-    times, fixed by the row's id, so it is the same in every task.
+        for row, home in zip(near, own):
+            cells = np.flatnonzero(row & (blocks > 0))
+            out.append([{"cell": int(c), "block": b} for c in cells for b in range(blocks[c]) if (c, b) != (home, 0)])
+        return pd.Series(out)
+
+    return ask
+
+
+def _answer(k: int, dim: int, metric: str, others: bool):
+    """Rows sorted by (cell, block, chunk, asks): a block's corpus, then its questions."""
+
+    def best(ids: np.ndarray, corpus: np.ndarray, asked: np.ndarray, queries: np.ndarray) -> pa.RecordBatch:
+        found: tuple[list, list, list] = ([], [], [])
+        for i in range(0, len(asked) if len(ids) else 0, 64):
+            gaps = distances(queries[i:i + 64], corpus, metric)
+            if others:
+                gaps[asked[i:i + 64, None] == ids[None, :]] = np.inf
+            for own, row in zip(asked[i:i + 64], gaps):
+                kth = np.partition(row, min(k, len(row)) - 1)[min(k, len(row)) - 1]
+                near = np.flatnonzero((row <= kth) & np.isfinite(row))
+                near = near[np.lexsort((ids[near], row[near]))[:k]]
+                for part, values in zip(found, (np.full(len(near), own), row[near], ids[near])):
+                    part.append(values)
+        made = [np.concatenate(f) if f else np.zeros(0) for f in found]
+        return pa.RecordBatch.from_pydict({
+            "id": pa.array(made[0].astype(np.int64)), "d": pa.array(made[1].astype(float)),
+            "j": pa.array(made[2].astype(np.int64))})
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, rows = None, [], []
+        for part in parts:
+            if not part.num_rows:
+                continue
+            keys = np.stack([part.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                             for c in ("cell", "block", "chunk", "asks")], axis=1)
+            cuts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+            own, vectors = part.column("id").to_numpy(), _matrix(part.column("vec"), dim)
+            for a, b in zip(cuts, np.append(cuts[1:], len(keys))):
+                if tuple(keys[a, :3]) != key:
+                    key, ids, rows = tuple(keys[a, :3]), [], []
+                if not keys[a, 3]:
+                    ids.append(own[a:b])
+                    rows.append(vectors[a:b])
+                    continue
+                if len(ids) > 1:
+                    ids, rows = [np.concatenate(ids)], [np.concatenate(rows)]
+                yield best(ids[0] if ids else own[:0], rows[0] if rows else vectors[:0], own[a:b], vectors[a:b])
+
+    return run
+
+
+def _met(held: DataFrame, asked: DataFrame, k: int, dim: int, metric: str, others: bool) -> DataFrame:
+    chunks = asked.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("_chunks"))
+    chunks = written(chunks, "chunks")
+    sent = held.join(chunks, ["cell", "block"]).select(
+        "cell", "block", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("chunk"),
+        F.lit(False).alias("asks"), "id", "vec")
+    asked = asked.join(chunks, ["cell", "block"]).select(
+        "cell", "block", F.pmod(F.xxhash64("id", F.lit(7)), F.col("_chunks")).cast("int").alias("chunk"),
+        F.lit(True).alias("asks"), "id", "vec")
+    return sent.union(asked).repartition("cell", "block", "chunk").sortWithinPartitions(
+        "cell", "block", "chunk", "asks").mapInArrow(_answer(k, dim, metric, others), "id long, d double, j long")
+
+
+def nearest(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "euclidean", others: bool = False,
+            block: int = BLOCK) -> DataFrame:
+    """(id, d, j): the ``k`` nearest corpus rows ``j`` of every query; ``others`` leaves its own id out.
+
+    Both frames have a unique long ``id`` and a double array ``vec`` of one length, without nulls.
+    The driver holds the pivots and a count and radius for each.
     """
-
-    def vote(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"id": left["id"], "votes": [0.5] * len(left)})
-        right = right.sort_values("id")
-        a, b = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-        label = right["label"].to_numpy(dtype=float)
-        ids = right["id"].to_numpy()
-        copies = np.stack([
-            np.random.default_rng([seed, int(i) & 0xFFFFFFFF, (int(i) >> 32) & 0xFFFFFFFF])
-            .poisson(share, bags) for i in ids
-        ])
-        gaps = distances(a, b)
-        order = np.argsort(gaps, axis=1, kind="stable")
-        votes = np.zeros(len(left))
-        for bag in range(bags):
-            held = copies[:, bag][order]
-            before = np.cumsum(held, axis=1) - held
-            used = np.clip(k - before, 0, held).astype(float)
-            if weighted:
-                used /= np.maximum(np.take_along_axis(gaps, order, 1), 1e-9)
-            total = used.sum(1)
-            ones = (used * label[order]).sum(1)
-            votes += np.where(total > 0, ones / np.maximum(total, 1e-300), 0.5)
-        return pd.DataFrame({"id": left["id"], "votes": votes / bags})
-
-    asked, held = leaves(queries, corpus, n, dim, seed, leaf)
-    return asked.groupBy("cell").cogroup(held.groupBy("cell")).applyInPandas(
-        vote, "id long, votes double"
-    )
+    assert metric in METRICS
+    # Ties go to smaller ids, so of equal rows no more than the first few can be anyone's answer.
+    alike = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
+    corpus = written(corpus.select("id", "vec", alike.alias("_copy")).where(
+        F.col("_copy") <= k + int(others)).drop("_copy"), "corpus")
+    queries = written(queries.select("id", "vec"), "queries")
+    n = corpus.count()
+    if not n:
+        return queries.sparkSession.createDataFrame([], "id long, d double, j long")
+    count = min(PIVOTS, max(1, math.ceil(n / block)))
+    drawn = corpus.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(count).collect()
+    pivots = np.unique(np.array([r["vec"] for r in drawn], float), axis=0)
+    dim = pivots.shape[1]
+    place = _placed(pivots, metric)
+    held = written(corpus.withColumn("_p", place("vec")).select("id", "vec", "_p.*"), "cells")
+    radius, blocks = np.zeros(len(pivots)), np.zeros(len(pivots), int)
+    for r in held.groupBy("cell").agg(F.max("away").alias("far"), F.count(F.lit(1)).alias("n")).collect():
+        radius[r["cell"]], blocks[r["cell"]] = r["far"], -(-r["n"] // block)
+    parts = F.get(F.array(*[F.lit(int(b)) for b in np.maximum(blocks, 1)]), F.col("cell"))
+    held = written(held.select(
+        "cell", F.pmod(F.xxhash64("id", F.lit(5)), parts).cast("int").alias("block"), "id", "vec"), "blocks")
+    asked = written(queries.withColumn("_p", place("vec")).select("id", "vec", "_p.cell"), "asked")
+    home = asked.withColumn("block", F.lit(0))
+    first = written(_met(held, home, k, dim, metric, others), "first-round")
+    kth = first.groupBy("id").agg(F.max("d").alias("_far"), F.count(F.lit(1)).alias("_n"))
+    more = asked.join(kth, "id", "left").select(
+        "id", "vec", "cell", F.when(F.col("_n") >= k, F.col("_far")).otherwise(float("inf")).alias("floor"))
+    more = written(more.select("id", "vec", F.explode(_worth(pivots, radius, blocks, metric)(
+        "vec", "cell", "floor")).alias("_w")).select("id", "vec", "_w.*"), "second-questions")
+    order = Window.partitionBy("id").orderBy("d", "j")
+    return first.union(_met(held, more, k, dim, metric, others)).withColumn(
+        "_rank", F.row_number().over(order)).where(F.col("_rank") <= k).drop("_rank")
+
+
+def _copies(ids: np.ndarray, bags: int, share: float, seed: int) -> np.ndarray:
+    """How often each bag holds each row: Poisson draws fixed by the row's id."""
+    with np.errstate(over="ignore"):
+        x = ids.astype(np.int64).view(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + (
+            np.arange(bags, dtype=np.uint64) + np.uint64(seed * 1_000_003))[None, :] * np.uint64(0xD1B54A32D192ED03)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    times = np.arange(64)
+    odds = np.cumsum(np.exp(-share + times * math.log(share) - np.array([math.lgamma(t + 1.0) for t in times])))
+    return np.searchsorted(odds, (x >> np.uint64(11)).astype(float) / float(1 << 53), "right")
+
+
+def bagged_votes(queries: DataFrame, corpus: DataFrame, k: int, bags: int, share: float = 1.0,
+                 weighted: bool = False, metric: str = "euclidean", seed: int = 42,
+                 block: int = BLOCK) -> DataFrame:
+    """(id, votes): k-nearest votes for class 1, averaged over bootstrap bags.
+
+    A bag holds each corpus row a Poisson number of times, fixed by its id. One join finds enough
+    neighbours for all bags; queries for which some bag still lacks neighbours are asked again
+    for four times as many, until every bag has k or the corpus is used up.
+    """
+    rows = written(corpus.select("id", "vec", F.col("label").cast("double")), "bagged")
+    n, wanted, done = rows.count(), 6 * k, None
+    left = queries.select("id", "vec")
+    while True:
+        taken = wanted
+
+        @F.pandas_udf("double")
+        def vote(near: pd.Series) -> pd.Series:
+            out = []
+            for found in near:
+                ids = np.array([f["j"] for f in found], np.int64)
+                held = _copies(ids, bags, share, seed)
+                used = np.clip(k - (np.cumsum(held, 0) - held), 0, held).astype(float)
+                if (used.sum(0) < k).any() and len(ids) == taken < n:
+                    out.append(None)
+                    continue
+                if weighted:
+                    used /= np.maximum(np.array([f["d"] for f in found]), 1e-9)[:, None]
+                total = used.sum(0)
+                ones = (used * np.array([f["y"] for f in found])[:, None]).sum(0)
+                out.append(float(np.where(total > 0, ones / np.maximum(total, 1e-300), 0.5).mean()))
+            return pd.Series(out, dtype=float)
+
+        near = nearest(left, rows, min(wanted, n), metric, block=block).join(
+            rows.select(F.col("id").alias("j"), F.col("label").alias("y")), "j")
+        lists = near.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("d", "j", "y"))).alias("near"))
+        votes = written(lists.select("id", vote("near").alias("votes")), "votes")
+        sure = votes.where("votes is not null and not isnan(votes)")
+        done = sure if done is None else done.unionByName(sure)
+        unsure = votes.where("votes is null or isnan(votes)").select("id")
+        if wanted >= n or not unsure.head(1):
+            return queries.select("id").join(done, "id", "left").select("id", F.coalesce("votes", F.lit(0.5)).alias("votes"))
+        left, wanted = written(left.join(unsure, "id", "left_semi"), "asked-again"), 4 * wanted

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.scalars import sixth
 from tidemart.learn import balance, content_model, evaluate, models, prep, recommend, search
 from tidemart.operators import cooccurrence
+from tidemart.operators.neighbours import nearest
 from tidemart.operators.relational import broadcast_if_small
 from tidemart.oracle import features as sql_features
 from tidemart.oracle import marts as sql_marts
@@ -385,6 +386,25 @@ over_star("smote", smote_rows, _churn(
 ))
 
 
+def metric_neighbours(t: Star) -> DataFrame:
+    """The three parts nearest to every part in size and price, by Manhattan distance."""
+    cents = F.round(F.col("p_retailprice") * 100)
+    rows = t.raw("part").select(
+        F.col("p_partkey").alias("id"), F.array(F.col("p_size").cast("double"), cents).alias("vec"))
+    return nearest(rows, rows, 3, "manhattan", others=True).select(
+        F.col("id").alias("p_partkey"), F.col("j").alias("near_partkey"), F.col("d").alias("distance"))
+
+
+over_star("metric_neighbours", metric_neighbours, """
+select p_partkey, near_partkey, distance from (
+  select a.p_partkey, b.p_partkey as near_partkey,
+    abs(a.p_size - b.p_size) + abs(round(a.p_retailprice * 100) - round(b.p_retailprice * 100)) as distance,
+    row_number() over (partition by a.p_partkey order by abs(a.p_size - b.p_size)
+      + abs(round(a.p_retailprice * 100) - round(b.p_retailprice * 100)), b.p_partkey) as place
+  from part a join part b on a.p_partkey <> b.p_partkey) where place <= 3
+""")
+
+
 def temporal(t: Star) -> DataFrame:
     days = t.raw("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
     return prep.temporal_columns(days, "d")
