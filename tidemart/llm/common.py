@@ -52,7 +52,7 @@ def lean(run: Callable) -> Callable:
         try:
             for n, out in enumerate(run(batches)):
                 yield out
-                if n % 8 == 7:
+                if n % 32 == 31:
                     give_back()
         finally:
             give_back()
