@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -200,6 +202,26 @@ def test_samples_splits_and_folds_are_independent(spark):
     assert 0 < rest.count() < held.count()
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 4321])
+def test_stratified_folds_and_split_are_exact(spark, n):
+    rows = [(i, ("a", "b", None)[0 if i % 10 < 6 else 1 if i % 10 < 9 else 2], i % 3) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, kind string, x long")
+    sizes = {r["kind"]: r["count"] for r in df.groupBy("kind").count().collect()}
+    folds = prep.with_stratified_fold(df.repartition(5), 5, 1, "kind", "k")
+    assert sorted(r["k"] for r in folds.collect()) == list(range(n)) and folds.columns == [*df.columns, "fold"]
+    for kind, size in sizes.items():
+        held = [r["count"] for r in folds.where(F.col("kind").eqNullSafe(F.lit(kind))).groupBy("fold").count().collect()]
+        assert sum(held) == size and max(held) - (min(held) if len(held) == 5 else 0) <= 1
+    every = [r["count"] for r in folds.groupBy("fold").count().collect()]
+    assert not every or max(every) - (min(every) if len(every) == 5 else 0) <= 1
+    assert {r["k"]: r["fold"] for r in folds.collect()} == {r["k"]: r["fold"] for r in prep.with_stratified_fold(
+        df.repartition(2), 5, 1, "kind", "k").collect()}
+    main, held = prep.stratified_split(df, 0.1, 1, "kind", "k")
+    taken = {r["kind"]: r["count"] for r in held.groupBy("kind").count().collect()}
+    assert main.count() + held.count() == n
+    assert all(taken.get(kind, 0) == math.floor(size * 0.1 + 0.5) for kind, size in sizes.items())
+
+
 def test_churn_tuner_end_to_end(spark, small, tmp_path):
     from tidemart.learn.tuner import ChurnTuner
     from tidemart.plans.churn import churn_features

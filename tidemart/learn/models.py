@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.learn.boosting import HistogramBoosting
-from tidemart.learn.prep import with_fold
+from tidemart.learn.prep import with_stratified_fold
 from tidemart.operators.neighbours import bagged_votes
-from tidemart.session import checkpoint_ready
+from tidemart.session import checkpoint_ready, written
 
 
 def _decided(df: DataFrame, score: Column) -> DataFrame:
@@ -273,7 +273,7 @@ class Stacking:
         self.passthrough, self.seed = passthrough, seed
 
     def fit(self, train: DataFrame) -> StackingModel:
-        rows = with_fold(train, self.folds, self.seed, "row_id")
+        rows = written(with_stratified_fold(train, self.folds, self.seed, "label", "row_id"), "stacking-folds")
         parts = None
         for fold in range(self.folds):
             rest, part = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)

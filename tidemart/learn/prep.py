@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions.scalars import hash_unit
@@ -226,10 +226,46 @@ def split(df: DataFrame, fraction: float, seed: int, *keys: str, purpose: str =
     return df.filter(place < fraction), df.filter(place >= fraction)
 
 
+#: Ranges of the hash within which rows of a class are ranked.
+RANK_RANGES = 4096
+
+
+def class_ranks(df: DataFrame, label: str, purpose: str, seed: int, *keys: str) -> DataFrame:
+    """Adds ``rank`` (from 0) of the row among its class in the order of a hash of its keys, ``size``
+    of the class, and ``before``, the rows of smaller classes.
+
+    Rows are ranked within ranges of the hash; only counts per class and range are ordered as a
+    whole, so no class meets in one task. A null label is a class of its own.
+    """
+    rows = written(df.withColumn("_place", hash_unit(purpose, seed, label, *keys)).withColumn(
+        "_range", F.floor(F.col("_place") * RANK_RANGES).cast("int")), "places")
+    counts = rows.groupBy(F.col(label).alias("_class"), F.col("_range").alias("_r")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_class").orderBy("_r")
+    counts = counts.withColumn("_offset", F.sum("_n").over(upto) - F.col("_n"))
+    sizes = counts.groupBy(F.col("_class").alias("_of")).agg(F.sum("_n").alias("size"))
+    sizes = sizes.withColumn(  # a row per class
+        "before", F.sum("size").over(Window.orderBy(F.col("_of").asc_nulls_first())) - F.col("size"))
+    counts = counts.join(F.broadcast(sizes), F.col("_class").eqNullSafe(F.col("_of"))).drop("_of", "_n")
+    # Rows with equal keys differ in the rest, or are one and the same.
+    within = Window.partitionBy(label, "_range").orderBy("_place", *keys, F.xxhash64(*df.columns))
+    return rows.withColumn("_row", F.row_number().over(within) - 1).join(
+        broadcast_if_small(counts), F.col(label).eqNullSafe(F.col("_class")) & (F.col("_range") == F.col("_r"))
+    ).select(*df.columns, (F.col("_offset") + F.col("_row")).alias("rank"), "size", "before")
+
+
 def stratified_split(df: DataFrame, fraction: float, seed: int, label: str, *keys: str
                      ) -> tuple[DataFrame, DataFrame]:
-    """Train and validation with the same share drawn within each class."""
-    return split(df, 1 - fraction, seed, label, *keys, purpose="validation")
+    """Train and validation; of every class of n rows round(n * fraction) are held out."""
+    ranked = written(class_ranks(df, label, "validation", seed, *keys), "stratified")
+    held = F.col("rank") < F.floor(F.col("size") * fraction + 0.5)
+    return ranked.filter(~held).select(*df.columns), ranked.filter(held).select(*df.columns)
+
+
+def with_stratified_fold(df: DataFrame, k: int, seed: int, label: str, *keys: str) -> DataFrame:
+    """Adds ``fold``; folds differ by one row at most, in each class and in all."""
+    ranked = class_ranks(df, label, "stratified fold", seed, *keys)
+    return ranked.select(*df.columns, ((F.col("before") + F.col("rank")) % k).cast("int").alias("fold"))
 
 
 def with_fold(df: DataFrame, k: int, seed: int, *keys: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.scalars import hash_unit
 from tidemart.learn.balance import balanced
 from tidemart.learn.evaluate import classification_scores
-from tidemart.learn.prep import LABEL, ChurnPrep, with_fold
+from tidemart.learn.prep import LABEL, ChurnPrep, with_stratified_fold
 from tidemart.session import written
 
 
@@ -48,7 +48,7 @@ def prepare(train: DataFrame, test: DataFrame, k: int = 5, seed: int = 42) -> Pr
 
 def prepare_folds(df: DataFrame, folds: int, seed: int, *keys: str) -> list[Prepared]:
     """Every fold prepared once; all candidates of a search then share them."""
-    rows = written(with_fold(df, folds, seed, *keys), "folds")
+    rows = written(with_stratified_fold(df, folds, seed, LABEL, *keys), "folds")
     return [
         prepare(
             rows.filter(F.col("fold") != f).drop("fold"),

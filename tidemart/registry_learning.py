@@ -307,10 +307,26 @@ def stratified(t: Star) -> DataFrame:
     )
 
 
-_HELD = f"{unit_sql('validation', 42, 'churn_label', 'customer_id')} >= 0.9"
 over_star("stratified_validation", stratified, _churn(
-    f"select churn_label, count(*) filter ({_HELD}) as n_held, "
-    f"count(*) filter (not {_HELD}) as n_main from churn group by all"
+    "select churn_label, count(*) filter (place <= floor(size * 0.1 + 0.5)) as n_held, "
+    "count(*) filter (place > floor(size * 0.1 + 0.5)) as n_main from ranked group by all",
+    ranked="select churn_label, row_number() over (partition by churn_label) as place, "
+    "count(*) over (partition by churn_label) as size from churn",
+))
+
+
+def stratified_folds(t: Star) -> DataFrame:
+    """Every customer's fold; each class is spread evenly over five."""
+    return prep.with_stratified_fold(churn_table(t), 5, 42, prep.LABEL, "customer_id").select(
+        "customer_id", "churn_label", "fold")
+
+
+over_star("stratified_folds", stratified_folds, _churn(
+    "select customer_id, churn_label, ((place - 1 + (select coalesce(sum(n), 0) from sizes "
+    "where l < churn_label)) % 5)::int as fold from ranked",
+    sizes="select churn_label as l, count(*) as n from churn group by all",
+    ranked="select customer_id, churn_label, row_number() over (partition by churn_label order by "
+    f"{unit_sql('stratified fold', 42, 'churn_label', 'customer_id')}, customer_id) as place from churn",
 ))
 
 

@@ -89,14 +89,14 @@ def silver_stream(t) -> DataFrame:
     clean = ingest.silver_clean_stream(
         windows.timed(_stream(t, "events")),
         {"event_type": F.lower(F.trim("event_type")), "hour": F.date_trunc("hour", "ts")},
-        {"value_set": F.col("value") >= 0}, ["event_id"], "ts", "1 hour",
+        {"value_set": F.col("value") >= 0}, ["user_id", "event_type", "hour"], "ts", "1 hour",
     )
-    return drain(clean.select("event_id", "user_id", "event_type"), "silver-stream")
+    return drain(clean.select("user_id", "event_type", "hour"), "silver-stream")
 
 
 over_star("silver_clean_stream", silver_stream,
-          "select event_id, user_id, lower(trim(event_type)) as event_type from events "
-          "where value >= 0")
+          "select distinct user_id, lower(trim(event_type)) as event_type, "
+          "date_trunc('hour', ts) as hour from events where value >= 0")
 
 
 def _order_versions(t) -> DataFrame:
