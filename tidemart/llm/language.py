@@ -14,6 +14,7 @@ null never train; languages missing from the family table are families of their
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -207,19 +208,23 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     Rejected rows are those with `und`.
     """
-    @F.pandas_udf("lang_pred string, score double")
-    def label(texts: pd.Series) -> pd.DataFrame:
-        array = pa.array(texts.tolist(), pa.string())
+    def judged(texts: pd.Series) -> pd.DataFrame:
         empty = [not t or not any(map(str.isalpha, t)) for t in texts]
         if not model.langs:
             langs, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         else:
-            langs, score = model.predict(array)
-        give_back()
+            langs, score = model.predict(pa.array(texts.tolist(), pa.string()))
         return pd.DataFrame({
             "lang_pred": [UNKNOWN if e else v for e, v in zip(empty, langs)],
             "score": np.where(empty, 0.0, score)})
 
+    @F.pandas_udf("lang_pred string, score double")
+    def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from map(judged, batches)
+        finally:
+            give_back()
+
     rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
     return in_batches(docs).withColumn("__label", label(F.col(text_col))).select(*rest, "__label.*")
 
