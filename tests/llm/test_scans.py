@@ -81,6 +81,37 @@ def test_language_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in held)
 
 
+def plain_language(model, text):
+    """The decision of a fitted model, one trigram and one machine at a time."""
+    data = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").encode()]
+    if not any(map(str.isalpha, text or "")):
+        return "und", 0.0
+    codes = [((a << 16 | b << 8 | c) * 2654435761 & 0xFFFFFFFF) >> 20 for a, b, c in zip(data, data[1:], data[2:])]
+    margin = {}
+    for pair, bias, column in zip(model.pairs, model.bias, model.weights.T):
+        margin[pair] = sum(float(column[c]) for c in codes) / max(len(codes), 1) + bias
+        margin[pair[::-1]] = -margin[pair]
+
+    def winner(names):
+        against = {a: [margin[a, b] for b in names if b != a] for a in names}
+        return max(names, key=lambda a: (sum(m > 0 for m in against[a]), sum(against[a]))), against
+
+    first, against = winner(list(model.families))
+    best, inside = winner(model.families[first])
+    sure = min([*against[first], *inside[best], 20.0])
+    return best, 1 / (1 + math.exp(-2 * max(sure, -20.0)))
+
+
+def test_language_against_plain_decisions(spark, edge):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = language.fit(docs)
+    assert len(model.families) > 1 and any(len(v) > 1 for v in model.families.values())
+    for frame in (docs, edge):
+        for r in language.identify(frame, model).collect():
+            lang, score = plain_language(model, r["text"])
+            assert r["lang_pred"] == lang and r["score"] == pytest.approx(score, abs=1e-5)
+
+
 def test_language_edge_cases(spark, edge, empty):
     trained = language.fit(spark.read.parquet(f"{SMALL}/documents.parquet"))
     rows = language.identify(edge, trained).collect()

@@ -15,6 +15,7 @@ import corpus_pipeline
 from tests.conftest import SMALL
 from tests.llm.conftest import lower, words
 from tidemart.llm import ngrams, search, warc
+from tidemart.session import written
 
 
 def read_pages(spark, pages, path, least_bytes=0):
@@ -228,16 +229,27 @@ def test_pipeline(spark):
 
 
 def test_stages_take_edge_cases(spark, edge, empty):
-    cleared = edge.select("doc_id", "text", "lang", "source", "n_chars")
-    for frame in (cleared, empty.select(cleared.columns)):
+    """Nulls, repeated rows, long and empty texts, and columns whose names the operators use inside."""
+    *stages, (_, pack) = corpus_pipeline.STAGES
+    for frame in (edge, empty):
         kept = frame
-        for _, stage in corpus_pipeline.STAGES:
-            kept = stage(spark, kept, SMALL)
-        kept.count()
+        for name, stage in stages:
+            before, kept = kept, written(stage(spark, kept, SMALL), name)
+            assert kept.columns == frame.columns
+            ids = {r["doc_id"] for r in before.collect()}
+            assert {r["doc_id"] for r in kept.collect()} <= ids
+            if name == "language":
+                assert {r["doc_id"] for r in kept.collect()} == {
+                    r["doc_id"] for r in before.collect() if any(map(str.isalpha, r["text"] or ""))}
+            if name == "near_duplicates":  # equal texts: one document stays
+                texts = [r["text"] for r in kept.dropDuplicates(["doc_id"]).collect()]
+                assert len(texts) == len(set(texts))
+        rows = pack(spark, kept, SMALL).collect()
+        assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in kept.collect()}
 
 
 def test_queries_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names
