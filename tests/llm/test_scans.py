@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,18 +48,42 @@ def test_binomial_tail(spark):
         assert got == pytest.approx(want, rel=1e-9)
 
 
+COUNTS = ("stratum string, n_words int, word_chars int, n_symbols int, n_lines int, n_dup_lines int,"
+          " n_repeat_words int")
+
+
 def test_thresholds_hold_the_risk(spark):
-    """Cutoffs are certified where good documents stay below them, and only there."""
+    """Levels are certified where good documents stay below them, and only there."""
     rows = [("en", 100, 600, 0 if i % 500 else 60, 10, 0, 0) for i in range(20_000)]
     rows += [("de", 100, 600, 300 if i % 4 == 0 else 0, 10, 0, 0) for i in range(20_000)]
+    rows += [("es", 100, 600, 0, 10, 0, 0)] * 300 + [("fr", 100, 600, 0, 10, 0, 0)] * 100
     rows += [(None, 100, 600, 0, 10, 0, 0)] * 10
-    good = spark.createDataFrame(
-        rows, "stratum string, n_words int, word_chars int, n_symbols int, n_lines int, n_dup_lines int, n_repeat_words int")
-    cut = {r["stratum"]: r for r in quality.thresholds(good, 0.02, 0.05).collect()}
-    assert cut["en"]["symbols_cutoff"] == 0.002  # 0.2 % lie above it, 0.5 % are allowed
+    cut = {r["stratum"]: r for r in quality.thresholds(spark.createDataFrame(rows, COUNTS), 0.02, 0.05).collect()}
+    assert cut["en"]["symbols_cutoff"] == 0.002  # 0.2 % lie above it, 2 % are allowed
     assert cut["de"]["symbols_cutoff"] is None  # a quarter of the good ones have half their characters so
+    assert cut["de"]["repeats_cutoff"] == 0.02  # a rule alone is certified where all together are not
+    assert cut["es"]["dup_lines_cutoff"] == 0.05  # 300 labels certify all rules together
+    assert cut["fr"]["dup_lines_cutoff"] is None  # enough for `loose`, but the pool loses over 2 %
     assert cut[None]["dup_lines_cutoff"] is None  # ten documents prove nothing
-    assert cut["de"]["repeats_cutoff"] == 0.02
+    calm = spark.createDataFrame([r for r in rows if r[0] != "de"], COUNTS)
+    cut = {r["stratum"]: r for r in quality.thresholds(calm, 0.02, 0.05).collect()}
+    assert cut["fr"]["dup_lines_cutoff"] == 0.05 and cut[None]["dup_lines_cutoff"] is None
+
+
+def test_risk_per_stratum(spark):
+    """Over 300 drawn strata at once, none loses more of its good documents than is allowed."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in (3000, 900, 250):
+        for one in range(100):
+            dup = np.minimum(rng.geometric(0.75, n) - 1, 9)  # tenths of duplicate lines
+            rows += [(f"{n}:{one}", 100, 600, 0, 10, int(d), 0) for d in dup]
+    cut = quality.thresholds(spark.createDataFrame(rows, COUNTS), 0.02, 0.05).collect()
+    assert len(cut) == 300 and sum(r["dup_lines_cutoff"] is not None for r in cut) > 150
+    for r in cut:
+        if r["dup_lines_cutoff"] is not None:
+            true = 0.25 ** (math.floor(r["dup_lines_cutoff"] * 10 + 1e-9) + 1)
+            assert true <= (0.1 if r["stratum"].startswith("250") else 0.02)
 
 
 def test_quality_of_empty_tables(spark, empty):

@@ -1,17 +1,27 @@
 """Quality rules with risk-controlled thresholds. DataFrame functions only.
 
-Each rule is a measure of a text, higher being worse, with a fixed grid of cutoffs. Documents
-labelled good are the holdout. For a stratum, a rule and a cutoff, k of the n good documents lie
-above the cutoff. The cutoff is certified if seeing k or fewer would have probability at most
-delta / tests were the true rate alpha / rules: the exact binomial test, which is the
-Clopper-Pearson bound read the other way. `tests` counts all strata, rules and cutoffs, so with
-probability 1 - delta every certified cutoff is right, and no stratum loses more than alpha of its
-good documents to all rules together. The lowest certified cutoff is used; with none, the rule is
-silent in that stratum.
+Each rule is a measure of a text, higher being worse, with eight cutoffs from loose to strict.
+Documents labelled good are the holdout. A level is certified in a group of n good documents, k of
+which it would reject, if seeing k or fewer had probability at most its share of delta were the true
+rate at the allowed one: the exact binomial test, the Clopper-Pearson bound read the other way.
+Levels are nested, so they are tested in a fixed sequence from the loosest on and the first failure
+ends it; no correction for the number of cutoffs is due. Four families of sequences share delta:
+
+* joint (1/2, over strata): all rules at the same level together reject at most alpha;
+* rules (1/4, over strata and rules): a rule alone rejects at most alpha / rules;
+* pool (1/8): all rules at a level reject at most alpha of all good documents together;
+* loose (1/8, over strata): they reject at most ``loose`` of the stratum's good documents.
+
+With probability 1 - delta every certified statement holds, so a stratum may use whichever of joint
+and rules reached further. A stratum whose labels certify neither takes the lower of its pool and
+loose levels: it then loses at most ``loose`` of its good documents, and all strata together at most
+alpha. With none of these its rules are silent. With four strata and no exceedance joint needs 252
+good labels, loose 62.
 
 Defined cases: null text has no words and fails the base rule; a null or unlabelled stratum is a
-stratum of its own; several labels of one document count as good only if all are; repeated rows
-count as often as they appear.
+stratum of its own, and without labels silent; several labels of one document count as good only if
+all are; repeated rows count as often as they appear; very long texts are counted whole; columns are
+taken by name and others are ignored, whatever they are called; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -99,30 +109,55 @@ def binomial_tail(n: Column, k: Column, rate: float) -> Column:
     return F.when(n == 0, 1.0).when(k >= n * rate, 1.0).otherwise(F.least(tail, F.lit(1.0)))
 
 
-def thresholds(good: DataFrame, alpha: float, delta: float) -> DataFrame:
-    """good: stratum and base counts of good documents -> stratum and a cutoff per rule.
+LEVELS = len(next(iter(RULES.values()))[1])
+assert all(len(cuts) == LEVELS for _, cuts in RULES.values())
 
-    One row per stratum leaves the first grouping; counts for all rules and cutoffs are sums in it.
-    """
-    sums = [F.sum((measure(r) > c).cast("long")).alias(f"{r}_{i}")
-            for r, (_, cuts) in RULES.items() for i, c in enumerate(cuts)]
-    tests = sum(len(cuts) for _, cuts in RULES.values())
-    counted = good.groupBy("stratum").agg(F.count("*").alias("n"), *sums).withColumn(
-        "_strata", F.count("*").over(Window.partitionBy()))  # one row per stratum
-    rate = alpha / len(RULES)
 
-    def cutoff(rule: str) -> Column:
-        return F.least(F.lit(None).cast("double"), *[
-            F.when(binomial_tail(F.col("n"), F.coalesce(f"{rule}_{i}", F.lit(0)), rate)
-                   <= delta / (tests * F.col("_strata")), F.lit(float(c)))
-            for i, c in enumerate(RULES[rule][1])])
+def _families(alpha: float, delta: float, loose: float) -> list[tuple[str, str, float, float, bool]]:
+    """Sequence, the counts it tests, allowed rate, share of delta, and if strata divide the share."""
+    return [
+        ("joint", "joint", alpha, delta / 2, True), ("loose", "joint", loose, delta / 8, True),
+        ("pool", "pool", alpha, delta / 8, False),
+        *[(r, r, alpha / len(RULES), delta / 4 / len(RULES), True) for r in RULES]]
 
-    return counted.select("stratum", *[cutoff(r).alias(f"{r}_cutoff") for r in RULES])
+
+def thresholds(good: DataFrame, alpha: float, delta: float, loose: float = 0.1) -> DataFrame:
+    """good: stratum and base counts of good documents -> stratum and a cutoff per rule.
+
+    One row per stratum leaves the first grouping; counts for all rules and levels are sums in it.
+    """
+    over = {r: [F.coalesce(measure(r) > c, F.lit(False)) for c in reversed(cuts)]
+            for r, (_, cuts) in RULES.items()}
+    over["joint"] = [F.greatest(*[over[r][i] for r in RULES]) for i in range(LEVELS)]
+    everyone = Window.partitionBy()  # one row per stratum
+    counted = good.groupBy("stratum").agg(
+        F.count("*").alias("n"),
+        *[F.array(*[F.sum(x.cast("long")) for x in each]).alias(f"k_{name}") for name, each in over.items()]
+    ).withColumns({
+        "strata": F.count("*").over(everyone), "n_pool": F.sum("n").over(everyone),
+        "k_pool": F.array(*[F.sum(F.col("k_joint")[i]).over(everyone) for i in range(LEVELS)])})
+    tried = counted.select("stratum", F.explode(F.array(*[
+        F.struct(
+            F.lit(name).alias("name"), F.lit(level).alias("level"),
+            (binomial_tail(F.col("n_pool" if counts == "pool" else "n"), F.col(f"k_{counts}")[level], rate)
+             <= F.lit(share) / (F.col("strata") if divided else F.lit(1))).alias("certified"))
+        for name, counts, rate, share, divided in _families(alpha, delta, loose)
+        for level in range(LEVELS)])).alias("t")).select("stratum", "t.*")
+    reached = tried.groupBy("stratum").agg(*[
+        F.coalesce(F.min(F.when((F.col("name") == name) & ~F.col("certified"), F.col("level"))),
+                   F.lit(LEVELS)).alias(name)
+        for name, *_ in _families(alpha, delta, loose)])
+    alone = sum((F.col(r) for r in RULES), F.lit(0))
+    level = {r: F.when((F.col("joint") > 0) & (F.col("joint") * len(RULES) >= alone), F.col("joint"))
+             .when(alone > 0, F.col(r)).otherwise(F.least("pool", "loose")) for r in RULES}
+    return reached.select("stratum", *[
+        F.get(F.array(*[F.lit(float(c)) for c in reversed(cuts)]), level[r] - 1).alias(f"{r}_cutoff")
+        for r, (_, cuts) in RULES.items()])
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           stratum_col: str = "lang", label_col: str = "quality", alpha: float = 0.02,
-          delta: float = 0.05) -> DataFrame:
+          delta: float = 0.05, loose: float = 0.1) -> DataFrame:
     """Per row: id, base counts, base_failed, kept, and the name of the rule that rejects it."""
     counts = written(base_counts(docs, text_col, {
         "doc_id": F.col(id_col), "stratum": F.col(stratum_col).cast("string")}), "quality-counts")
@@ -130,7 +165,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.min(label_col).alias("_label")).where(F.col("_label") == 1)
     cutoffs = thresholds(
         counts.where(~F.col("base_failed")).join(good, F.col("doc_id") == F.col("_labelled")),
-        alpha, delta).withColumnRenamed("stratum", "_stratum")
+        alpha, delta, loose).withColumnRenamed("stratum", "_stratum")
     judged = counts.join(
         broadcast_if_small(written(cutoffs, "quality-cutoffs")),
         F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
@@ -146,18 +181,30 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def _sql(alpha: float = 0.02, delta: float = 0.05) -> str:
+def _sql(alpha: float = 0.02, delta: float = 0.05, loose: float = 0.1) -> str:
     """The same in DuckDB: binomial tails from log-gamma terms."""
-    rate, tests = alpha / len(RULES), sum(len(c) for _, c in RULES.values())
     measured = {r: "case when {1} > 0 then {0}::double / {1} end".format(*m.split(" / "))
                 for r, (m, _) in RULES.items()}
-    tail = (f"case when n = 0 or k >= n * {rate} then 1 else list_sum(list_transform(range(0, k + 1), "
+    tail = ("case when n = 0 or k >= n * rate then 1 else list_sum(list_transform(range(0, k + 1), "
             "lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) "
-            f"+ i * ln({rate}) + (n - i) * ln(1 - {rate})))) end")
+            "+ i * ln(rate) + (n - i) * ln(1 - rate)))) end")
+    level = [" or ".join(f"coalesce({measured[r]} > {cuts[-1 - i]}, false)" for r, (_, cuts) in RULES.items())
+             for i in range(LEVELS)]
     counted = " union all ".join(
-        f"select stratum, '{r}' as rule, {c}::double as cutoff, count(*) as n, "
-        f"count(*) filter ({measured[r]} > {c}) as k from good group by stratum"
-        for r, (_, cuts) in RULES.items() for c in cuts)
+        [f"select stratum, 'joint' as counts, {i} as level, count(*) as n, "
+         f"count(*) filter ({x}) as k from good group by stratum" for i, x in enumerate(level)]
+        + [f"select stratum, '{r}', {i}, count(*), count(*) filter ({measured[r]} > {c}) from good group by stratum"
+           for r, (_, cuts) in RULES.items() for i, c in enumerate(reversed(cuts))])
+    families = ", ".join(
+        f"('{name}', '{counts}', {rate}::double, {share}::double, {str(divided).lower()})"
+        for name, counts, rate, share, divided in _families(alpha, delta, loose))
+    alone = " + ".join(RULES)
+    cutoffs = ", ".join(
+        f"[{', '.join(str(c) for c in reversed(cuts))}][case when joint > 0 and joint * {len(RULES)} >= {alone} "
+        f"then joint when {alone} > 0 then {r} else least(pool, loose) end] as {r}_cutoff"
+        for r, (_, cuts) in RULES.items())
+    reached = ", ".join(f"coalesce(min(level) filter (name = '{name}' and not certified), {LEVELS}) as {name}"
+                        for name, *_ in _families(alpha, delta, loose))
     rejected = " ".join(f"when {measured[r]} > {r}_cutoff then '{r}'" for r in RULES)
     return f"""
 with split as (
@@ -184,12 +231,19 @@ with split as (
 ), good as (
   select judged.* from judged join (
     select doc_id from labels group by doc_id having min(quality) = 1) using (doc_id) where not base_failed
+), counted as ({counted}
+), pooled as (
+  select * from counted union all
+  select s.stratum, 'pool', level, sum(n)::bigint, sum(k)::bigint from counted, (
+    select distinct stratum from good) s where counts = 'joint' group by all
 ), tried as (
-  select stratum, rule, cutoff, {tail} <= {delta} / ({tests} * (select count(*) from (
-    select distinct stratum from good))) as certified from ({counted})
+  select stratum, name, level, {tail} <= share / case when divided then (
+    select count(*) from (select distinct stratum from good)) else 1 end as certified
+  from pooled join (values {families}) f(name, counts, rate, share, divided) using (counts)
+), reached as (
+  select stratum, {reached} from tried group by stratum
 ), cutoffs as (
-  select stratum, {", ".join(f"min(cutoff) filter (rule = '{r}' and certified) as {r}_cutoff" for r in RULES)}
-  from tried group by stratum
+  select stratum, {cutoffs} from reached
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and rejecting is null as kept,
