@@ -99,6 +99,33 @@ def test_scd2_intervals_do_not_overlap(spark, small):
     assert rows.filter("end_date <= start_date").count() == 0
 
 
+def test_as_of_join_against_brute_force(spark):
+    """Long and short histories, facts before the first version, on edges, in units far apart."""
+    rng = np.random.default_rng(3)
+    start = datetime.date(2019, 12, 20)
+    versions, facts = [], []
+    for k in ["hot", "long", "one", None, "none"]:
+        days = sorted({int(d) for d in rng.integers(0, 900, {"long": 200, "hot": 12}.get(k, 1))})
+        if k != "none":
+            for i, (a, b) in enumerate(zip(days, [*days[1:], None])):
+                end = None if b is None else start + datetime.timedelta(b)
+                if k == "hot" and i == 5:
+                    end = start + datetime.timedelta(a + 1)  # a gap after it
+                versions.append((k, start + datetime.timedelta(a), end, f"{k}{i}"))
+        for i in range(400 if k == "hot" else 60):
+            facts.append((k, None if i == 7 else start + datetime.timedelta(int(rng.integers(-40, 1000))), len(facts)))
+    got = history.as_of_join(
+        spark.createDataFrame(facts, "k string, at date, n int"),
+        spark.createDataFrame(versions, "k string, start_date date, end_date date, name string"),
+        ["k"], "at", ["name"]).collect()
+    want = {n: [v[3] for v in versions if k is not None and v[0] == k and at and v[1] <= at and (
+        v[2] is None or at < v[2])] for k, at, n in facts}
+    assert len(got) == len(facts)
+    for r in got:
+        assert [r["name"]] == (want[r["n"]] or [None]), r
+    assert sum(bool(v) for v in want.values()) > 300
+
+
 def test_two_moves_on_one_day_follow_their_sequence(spark):
     log = spark.createDataFrame(
         [("u", "Zell", "2020-01-01", 1), ("u", "Aalen", "2020-01-01", 2), ("u", "Bonn", "2020-02-01", 3)],

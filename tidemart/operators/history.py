@@ -66,3 +66,37 @@ def scd2_merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], tracked
         .select(*keys, effective, F.col("best.seen").alias("seen"))
     )
     return _intervals(daily, keys, tracked, effective)
+
+
+def as_of_join(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at: str,
+               carried: Sequence[str], unit: str = "month") -> DataFrame:
+    """Facts with the columns ``carried`` of the version of their key that held on day ``at``.
+
+    Facts and versions meet per key and ``unit`` of the calendar. A version is placed where it
+    starts, and every (key, unit) that holds facts also gets the version that was open when it
+    began, so a long history is not repeated for the units it spans, and a fact is compared with
+    the versions of its own unit and one more. The join is on equal keys, so a key with many facts
+    can be split. ``versions`` has start_date and end_date, null for the open one, without overlap.
+    A fact with a null key or day, or before the first version, keeps nulls.
+    """
+    version = F.struct("start_date", "end_date", *carried)
+    opened = versions.select(
+        *keys, F.trunc("start_date", unit).alias("_unit"), version.alias("_version"))
+    placed = facts.withColumn("_unit", F.trunc(at, unit))
+    newest = opened.groupBy(*keys, "_unit").agg(
+        F.max_by("_version", "_version.start_date").alias("_newest"), F.lit(False).alias("_asked"))
+    asked = placed.select(*keys, "_unit").distinct().withColumn("_asked", F.lit(True))
+    before = Window.partitionBy(*keys).orderBy("_unit").rowsBetween(
+        Window.unboundedPreceding, -1)  # a row per unit of the calendar
+    carry = newest.unionByName(asked, allowMissingColumns=True).groupBy(*keys, "_unit").agg(
+        F.max_by("_newest", "_newest.start_date").alias("_newest"), F.max("_asked").alias("_asked")
+    ).select(
+        *keys, "_unit", "_asked", F.last("_newest", ignorenulls=True).over(before).alias("_version")
+    ).filter("_asked and _version is not null").drop("_asked")
+    held = opened.unionByName(carry)
+    day, kept = F.col(at), facts.columns
+    within = [placed[k] == held[k] for k in (*keys, "_unit")] + [
+        day >= F.col("_version.start_date"),
+        F.col("_version.end_date").isNull() | (day < F.col("_version.end_date"))]
+    return placed.join(held, within, "left").select(
+        *[placed[c] for c in kept], *[F.col(f"_version.{c}").alias(c) for c in carried])

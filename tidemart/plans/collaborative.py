@@ -77,7 +77,7 @@ def reviewed_pairs(t: Star) -> DataFrame:
     )
     written_by = by_author.join(_persons(t), "customer_key").drop("customer_key")
     return (
-        t.items.select("order_key", "order_id", "product_key")
+        t.lines.select("order_key", "order_id", "product_key")
         .join(written_by, "order_key")
         .groupBy("customer_unique_id", "product_key")
         .agg(

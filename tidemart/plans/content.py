@@ -55,7 +55,7 @@ def product_review_stats(t: Star) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.count("review_id").alias("n_reviews")
     )
     per_score = (
-        t.items.select("order_key", "product_key")
+        t.lines.select("order_key", "product_key")
         .join(scores, "order_key")
         .groupBy("product_key", "score")
         .agg(F.sum("n_rows").alias("n"), F.sum("n_reviews").alias("n_reviews"))
@@ -83,7 +83,7 @@ def product_payment_stats(t: Star) -> DataFrame:
         F.count("payment_installments").alias("n"),
     )
     return (
-        t.items.select("order_key", "product_key")
+        t.lines.select("order_key", "product_key")
         .join(paid, "order_key")
         .groupBy("product_key")
         .agg(mean_of(F.sum("installments"), F.sum("n")).alias("avg_payment_installments"))

@@ -32,7 +32,7 @@ def _calendar(t: Star, role: str, *cols: str) -> DataFrame:
 
 
 def revenue_by_month(t: Star) -> DataFrame:
-    per_order = t.items.groupBy("order_key").agg(F.sum("price").alias("spent"))
+    per_order = t.lines.groupBy("order_key").agg(F.sum("price").alias("spent"))
     return (
         per_order.join(t.orders.select("order_key", "order_purchase_date_key"), "order_key")
         .join(_calendar(t, "order_purchase_date_key", "year", "month"), "order_purchase_date_key")
@@ -77,7 +77,7 @@ def seller_year_revenue(t: Star) -> DataFrame:
         _calendar(t, "order_purchase_date_key", "year"), "order_purchase_date_key"
     )
     return (
-        t.items.select("order_key", "seller_key", "price")
+        t.lines.select("order_key", "seller_key", "price")
         .join(placed, "order_key")
         .groupBy("seller_key", "year")
         .agg(F.sum("price").alias("spent"))
@@ -172,7 +172,7 @@ def logistics_order_processing_time(t: Star) -> DataFrame:
         whole_hours(F.col("approved_at"), F.col("delivered_carrier")).alias("hours"),
     )
     return (
-        t.items.select("order_key", "seller_key")
+        t.lines.select("order_key", "seller_key")
         .join(timed, "order_key")
         .groupBy("seller_key")
         .agg(F.sum("hours").alias("hours"), F.count("hours").alias("n_timed"))

@@ -126,7 +126,7 @@ over_star(
 over_star(
     "having",
     lambda t: rounded(
-        t.items.groupBy("product_key").agg(mean("price").alias("avg_price"))
+        t.lines.groupBy("product_key").agg(mean("price").alias("avg_price"))
         .filter(F.col("avg_price").isNotNull())
     ),
     star_sql(
@@ -289,7 +289,7 @@ over_star(
 
 def fact_fact(t) -> DataFrame:
     """Item–review rows per order from the many-to-many join of both facts."""
-    items = t.items.groupBy("order_key").agg(F.count(F.lit(1)).alias("n_items"))
+    items = t.lines.groupBy("order_key").agg(F.count(F.lit(1)).alias("n_items"))
     reviews = t.reviews.groupBy("order_key").agg(
         F.count(F.lit(1)).alias("n_reviews"), F.sum("score").alias("score")
     )
@@ -307,7 +307,7 @@ over_star("fact_fact", fact_fact, star_sql(
 
 def left_reviews(t) -> DataFrame:
     return (
-        t.items.groupBy("order_key").agg(F.count(F.lit(1)).alias("n_items"))
+        t.lines.groupBy("order_key").agg(F.count(F.lit(1)).alias("n_items"))
         .join(collaborative.order_reviews(t), "order_key", "left")
         .select(
             "order_key",
@@ -340,7 +340,7 @@ over_star("scalar_snapshot", scalar_snapshot, star_sql(
 over_star(
     "orphan_rows",
     lambda t: relational.orphans(
-        t.orders.select("order_key"), t.items.select("order_key"), "order_key"
+        t.orders.select("order_key"), t.lines.select("order_key"), "order_key"
     ),
     star_sql(
         "select order_key, count(*) as n_rows from s_orders "
@@ -352,7 +352,7 @@ over_star(
 
 over_star(
     "group_sum",
-    lambda t: t.items.groupBy("seller_key").agg(as_double(F.sum("price")).alias("revenue")),
+    lambda t: t.lines.groupBy("seller_key").agg(as_double(F.sum("price")).alias("revenue")),
     star_sql("select seller_key, sum(price)::double as revenue from s_items group by all"),
 )
 over_star(
@@ -380,7 +380,7 @@ over_star(
 )
 over_star(
     "avg_min_max",
-    lambda t: rounded(t.items.groupBy("seller_key").agg(
+    lambda t: rounded(t.lines.groupBy("seller_key").agg(
         mean("price").alias("mean_price"), as_double(F.min("price")).alias("low"),
         as_double(F.max("price")).alias("high"),
     )),
@@ -429,7 +429,7 @@ over_star(
 )
 over_star(
     "ratio_of_sums",
-    lambda t: t.items.groupBy("seller_key").agg(
+    lambda t: t.lines.groupBy("seller_key").agg(
         sixth(ratio(F.sum("freight_value"), F.sum("price")) * 100).alias("freight_percent")
     ),
     star_sql(
@@ -439,7 +439,7 @@ over_star(
 )
 over_star(
     "mean_ratio",
-    lambda t: t.items.groupBy("product_key").agg(
+    lambda t: t.lines.groupBy("product_key").agg(
         sixth(F.avg(ratio(F.col("freight_value"), F.col("price")))).alias("mean_share")
     ),
     star_sql(
@@ -451,7 +451,7 @@ over_star(
 
 def herfindahl(t) -> DataFrame:
     """Concentration of a product's sales over its sellers."""
-    cells = t.items.groupBy("product_key", "seller_key").agg(F.count(F.lit(1)).alias("n"))
+    cells = t.lines.groupBy("product_key", "seller_key").agg(F.count(F.lit(1)).alias("n"))
     return cells.groupBy("product_key").agg(
         sixth(mean_of(F.sum(F.col("n") ** 2), F.sum("n") ** 2)).alias("concentration")
     )
@@ -499,7 +499,7 @@ over_star(
 
 def median_value(t) -> DataFrame:
     """Medians of price and freight by the exact bracketed method."""
-    found = quantiles.medians(t.items, ["price", "freight_value"])
+    found = quantiles.medians(t.lines, ["price", "freight_value"])
     return t.spark.range(1).select(
         *[sixth(F.lit(v)).alias(f"median_{c}") for c, v in found.items()]
     )
@@ -558,7 +558,7 @@ def _view(df: DataFrame, name: str):
 
 _PROFILED = ["price", "freight_value"]
 over_star(
-    "describe", lambda t: rounded(relational.profile(t.items.select(*_PROFILED))),
+    "describe", lambda t: rounded(relational.profile(t.lines.select(*_PROFILED))),
     star_sql(" union all ".join(
         f"select '{c}' as \"column\", count(*) as n_rows, count(*) - count({c}) as n_null, "
         f"round(avg({c}::double), 6) as mean, round(stddev_samp({c}::double), 6) as std, "
@@ -576,7 +576,7 @@ over_star(
 )
 over_star(
     "eda_outliers",
-    lambda t: rounded(quantiles.outlier_counts(t.items, _PROFILED)),
+    lambda t: rounded(quantiles.outlier_counts(t.lines, _PROFILED)),
     star_sql(" union all ".join(
         f"select '{c}' as \"column\", round(q1, 6) as q1, round(q3, 6) as q3, "
         f"(select count(*) from s_items where {c}::double < q1 - 1.5 * (q3 - q1) "
@@ -604,7 +604,7 @@ over_star("rank_over_agg", rank_over_agg, star_sql(
 ))
 over_star(
     "row_number_top1",
-    lambda t: t.items.groupBy("seller_key", "product_key").agg(
+    lambda t: t.lines.groupBy("seller_key", "product_key").agg(
         F.count(F.lit(1)).alias("n")
     ).groupBy("seller_key").agg(
         chosen_by(F.col("n"), F.col("product_key")).alias("top_product")
@@ -644,7 +644,7 @@ over_star("share_of_total", share_of_total, star_sql(
 
 over_star(
     "global_sort",
-    lambda t: t.items.groupBy("product_key").agg(as_double(F.sum("price")).alias("spent"))
+    lambda t: t.lines.groupBy("product_key").agg(as_double(F.sum("price")).alias("spent"))
     .orderBy(F.desc("spent"), "product_key"),
     star_sql("select product_key, sum(price)::double as spent from s_items group by all"),
 )
@@ -653,7 +653,7 @@ over_star(
 def top_k_per_group(t, k: int = 3) -> DataFrame:
     """The best-selling products of each category."""
     known = t.products.select("product_key", "product_category_name")
-    sold = t.items.groupBy("product_key").agg(F.sum("price").alias("spent")).join(
+    sold = t.lines.groupBy("product_key").agg(F.sum("price").alias("spent")).join(
         known, "product_key"
     )
     best = Window.partitionBy("product_category_name").orderBy(F.desc("spent"), "product_key")
@@ -670,7 +670,7 @@ over_star("top_k_per_group", top_k_per_group, star_sql(
 ))
 over_star(
     "head",
-    lambda t: t.items.groupBy("product_key").agg(as_double(F.sum("price")).alias("spent"))
+    lambda t: t.lines.groupBy("product_key").agg(as_double(F.sum("price")).alias("spent"))
     .orderBy(F.desc("spent"), "product_key").limit(20),
     star_sql(
         "select product_key, sum(price)::double as spent from s_items group by all "
@@ -774,7 +774,7 @@ over_star("scalar_strings", scalar_strings, star_sql(
 
 def scalar_math(t) -> DataFrame:
     price, freight = as_double("price"), as_double("freight_value")
-    return t.items.groupBy("seller_key").agg(
+    return t.lines.groupBy("seller_key").agg(
         F.sum(F.pow(F.floor(price / 1000), F.lit(2))).alias("squares"),
         F.count(F.when(F.try_divide(price, freight).isNull(), 1)).alias("free_shipping"),
         F.sum(F.col("price").cast("int")).alias("whole_units"),

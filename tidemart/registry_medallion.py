@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.scalars import surrogate_key
+from tidemart.functions.scalars import as_double, surrogate_key
 from tidemart.operators import history
+from tidemart.oracle import marts as sql_marts
 from tidemart.oracle.star import star_sql
+from tidemart.plans import marts
 from tidemart.registry import over_star
 from tidemart.session import shared_dir
+from tidemart.sources.star import read_gold, write_gold
 from tidemart.sources.tables import write_version
 from tidemart.streaming import ingest, state, windows
 from tidemart.streaming.drain import drain, drain_updates
@@ -215,6 +218,53 @@ over_star(
 )
 
 
+def gold_facts(t) -> DataFrame:
+    """Orders keyed to the version of the customer that held on the day of purchase.
+
+    Dimension and facts are written as gold tables and read back.
+    """
+    root = shared_dir(t.spark, "gold")
+    gold_customers(t).write.parquet(f"{root}/customers")
+    people = t.customers.select("customer_key", "customer_unique_id")
+    spent = t.lines.groupBy("order_key").agg(
+        F.count(F.lit(1)).alias("n_items"), F.sum("price").alias("spent"))
+    facts = t.raw("orders").select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer_key"),
+        F.col("o_orderdate").cast("date").alias("bought"),
+    ).join(people, "customer_key").drop("customer_key").join(spent, "order_key", "left")
+    versions = t.spark.read.parquet(f"{root}/customers")
+    history.as_of_join(
+        facts, versions, ["customer_unique_id"], "bought", ["customer_key", "customer_city"]
+    ).write.parquet(f"{root}/facts")
+    return t.spark.read.parquet(f"{root}/facts").select(
+        "order_key", "bought", "customer_key", "customer_city",
+        F.coalesce("n_items", F.lit(0)).alias("n_items"), as_double(F.col("spent")).alias("spent"))
+
+
+over_star("gold_facts", gold_facts, star_sql(
+    "select o_orderkey as order_key, cast(o_orderdate as date) as bought, v.customer_key, "
+    "v.customer_city, coalesce(n_items, 0) as n_items, spent::double as spent from orders "
+    "join s_customers c on o_custkey = c.customer_key join keyed v on "
+    "v.customer_unique_id = c.customer_unique_id and cast(o_orderdate as date) >= start_date "
+    "and (end_date is null or cast(o_orderdate as date) < end_date) left join ("
+    "select order_key, count(*) as n_items, sum(price) as spent from s_items group by all) s "
+    "on s.order_key = o_orderkey",
+    log=_LOG, versions=_history_sql(_daily_sql()),
+    keyed=f"select {_KEY_SQL.format(chr(39).join(['customer_unique_id || ', '|', ' || start_date']))} "
+    "as customer_key, * from versions",
+))
+
+
+def gold_round_trip(t) -> DataFrame:
+    """Revenue by month from the star written as gold tables and read back."""
+    root = shared_dir(t.spark, "star")
+    write_gold(t, root)
+    return marts.revenue_by_month(read_gold(t.spark, root))
+
+
+over_star("gold_round_trip", gold_round_trip, sql_marts.MARTS["revenue_by_month"])
+
+
 def gold_dates(t) -> DataFrame:
     """Every calendar day with the orders placed on it."""
     placed = t.orders.groupBy(F.col("order_purchase_date_key").alias("date_key")).agg(

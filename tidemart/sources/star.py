@@ -88,6 +88,9 @@ ITEMS = [
     f"cast({_PRICE} * cast(l_tax as decimal(4,2)) as {MONEY}) as freight_value",
 ]
 
+#: Items as far as their own table knows them.
+LINES = [c for c in ITEMS if not c.endswith("customer_key")]
+
 PAYMENTS = [
     "o_orderkey as order_key",
     "o_custkey as customer_key",
@@ -161,6 +164,11 @@ class Star:
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Items without the customer, for whom the raw tables must ask the orders."""
+        return self.items.drop("customer_key")
+
 
 class RawStar(Star):
     """Star tables derived from the raw Parquet tables in one folder."""
@@ -202,13 +210,15 @@ class RawStar(Star):
 
     @cached_property
     def dates(self) -> DataFrame:
-        """Whole years around all dates of the facts."""
-        span = self.raw("orders").agg(
-            F.min("o_orderdate").cast("date").alias("first"),
-            F.date_add(F.max("o_orderdate").cast("date"), LATEST_DAYS).alias("last"))
-        return with_date_parts(span.select(F.explode(F.sequence(
-            F.trunc("first", "year"), F.last_day(F.add_months(F.trunc("last", "year"), 11))
-        )).alias("full_date")))
+        """Whole years around all dates of the facts; the span is read once, as two dates."""
+        first, last = self.raw("orders").agg(
+            F.trunc(F.min("o_orderdate").cast("date"), "year"),
+            F.last_day(F.add_months(F.trunc(
+                F.date_add(F.max("o_orderdate").cast("date"), LATEST_DAYS), "year"), 11)),
+        ).first()
+        if first is None:
+            return calendar_dim(self.spark, "2000-01-01", "2000-01-01").limit(0)
+        return calendar_dim(self.spark, str(first), str(last))
 
     @cached_property
     def times(self) -> DataFrame:
@@ -224,6 +234,10 @@ class RawStar(Star):
         # A line without its order stays, so that the quality rules can see it.
         return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left").selectExpr(*ITEMS)
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self.raw("lineitem").selectExpr(*LINES)
+
     @cached_property
     def payments(self) -> DataFrame:
         orders = self.raw("orders")
@@ -232,8 +246,8 @@ class RawStar(Star):
 
     @cached_property
     def reviews(self) -> DataFrame:
-        n_documents = self.raw("documents").agg(F.count(F.lit(1))).scalar()
-        orders = self.raw("orders").withColumn("n_documents", n_documents)
+        n_documents = self.raw("documents").count()
+        orders = self.raw("orders").withColumn("n_documents", F.lit(n_documents).cast("long"))
         second = orders.filter(SECOND_REVIEW_RULE).selectExpr(*SECOND_REVIEWS)
         return orders.filter(REVIEW_RULE).selectExpr(*REVIEWS).unionByName(second)
 
