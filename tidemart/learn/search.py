@@ -1,4 +1,4 @@
-"""Fold preparation, successive halving and random search."""
+"""Fold preparation, successive halving, random search and search with a Gaussian process."""
 
 from __future__ import annotations
 
@@ -145,6 +145,90 @@ def random_search(model: str, build: Callable, space: Mapping[str, tuple], trial
     return Search(model, tried)
 
 
+def encoded(space: Mapping[str, tuple], point: Mapping) -> np.ndarray:
+    """A point in the unit cube: ranges scaled, logarithms where drawn so, a choice as its indicators."""
+    out: list[float] = []
+    for name, (kind, *args) in space.items():
+        if kind == "pick":
+            out += [float(point[name] == v) / math.sqrt(2) for v in args[0]]
+            continue
+        low, high, at = float(args[0]), float(args[1]), float(point[name])
+        if kind == "log":
+            low, high, at = math.log(low), math.log(high), math.log(at)
+        out.append((at - low) / (high - low) if high > low else 0.0)
+    return np.array(out)
+
+
+class GaussianProcess:
+    """Matern 5/2 over standardised scores; scale and noise are those of largest likelihood."""
+
+    SCALES = (0.1, 0.2, 0.4, 0.8, 1.6)
+    NOISES = (1e-6, 1e-3, 1e-1)
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        self.x, self.centre, self.spread = x, float(y.mean()), float(y.std()) or 1.0
+        z, best = (y - self.centre) / self.spread, -np.inf
+        for scale in self.SCALES:
+            for noise in self.NOISES:
+                low = np.linalg.cholesky(self._kernel(x, x, scale) + noise * np.eye(len(x)))
+                half = np.linalg.solve(low, z)
+                likelihood = -0.5 * half @ half - np.log(np.diag(low)).sum()
+                if likelihood > best:
+                    best, self.scale, self.low, self.half = likelihood, scale, low, half
+
+    @staticmethod
+    def _kernel(a: np.ndarray, b: np.ndarray, scale: float) -> np.ndarray:
+        d = math.sqrt(5) * np.sqrt(np.maximum(((a[:, None] - b[None]) ** 2).sum(2), 0.0)) / scale
+        return (1 + d + d * d / 3) * np.exp(-d)
+
+    def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Mean and standard deviation of the score at the rows of ``x``."""
+        solved = np.linalg.solve(self.low, self._kernel(self.x, x, self.scale))
+        variance = np.maximum(1.0 - (solved * solved).sum(0), 1e-12)
+        return self.centre + self.spread * (solved.T @ self.half), self.spread * np.sqrt(variance)
+
+
+def expected_improvement(mean: np.ndarray, deviation: np.ndarray, best: float) -> np.ndarray:
+    z = (mean - best) / deviation
+    density = np.exp(-0.5 * z * z) / math.sqrt(2 * math.pi)
+    below = 0.5 * (1 + np.array([math.erf(v / math.sqrt(2)) for v in z]))
+    return (mean - best) * below + deviation * density
+
+
+def next_point(space: Mapping[str, tuple], tried: Sequence[tuple[dict, float]], rng: np.random.Generator,
+               start: int, offered: int = 512) -> dict:
+    """The drawn point of largest expected improvement; the first ``start`` points are random.
+
+    Half of the offered points are drawn at large, half change one parameter of the best point. A
+    point tried before is offered only when the space holds no other.
+    """
+    if len(tried) < start:
+        return draw(space, rng)
+    best, value = max(tried, key=lambda t: t[1])
+    points = [draw(space, rng) for _ in range(offered)]
+    names = list(space)
+    for i in range(offered // 2):
+        name = names[i % len(names)]
+        points[i] = {**best, name: points[i][name]}
+    seen = [p for p, _ in tried]
+    points = [p for p in points if p not in seen] or points
+    model = GaussianProcess(np.stack([encoded(space, p) for p in seen]), np.array([v for _, v in tried]))
+    gain = expected_improvement(*model.predict(np.stack([encoded(space, p) for p in points])), value)
+    return points[int(np.argmax(gain))]
+
+
+def bayesian_search(model: str, build: Callable, space: Mapping[str, tuple], trials: int,
+                    folds: Sequence[Prepared], seed: int = 42, start: int = 8) -> Search:
+    """Sequential search: every trial learns from all before it; its folds run side by side."""
+    rng, search = np.random.default_rng(seed), Search(model)
+    with ThreadPoolExecutor(len(folds)) as pool:
+        for _ in range(trials):
+            point = next_point(space, [(t.params, t.mean) for t in search.trials], rng, start)
+            scores = pool.map(lambda fold, p=point: _score(build, p, [fold])[0], folds)
+            search.trials.append(Trial(point, list(scores)))
+    return search
+
+
 # Search grids, spaces and trial counts.
 NB_GRID = [{"smoothing": 10.0 ** -i} for i in range(10)]
 PCA_NB_GRID = [
