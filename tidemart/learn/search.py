@@ -49,13 +49,14 @@ def prepare(train: DataFrame, test: DataFrame, k: int = 5, seed: int = 42) -> Pr
 def prepare_folds(df: DataFrame, folds: int, seed: int, *keys: str) -> list[Prepared]:
     """Every fold prepared once; all candidates of a search then share them."""
     rows = written(with_stratified_fold(df, folds, seed, LABEL, *keys), "folds")
-    return [
-        prepare(
+    def fold(f: int) -> Prepared:
+        return prepare(
             rows.filter(F.col("fold") != f).drop("fold"),
             rows.filter(F.col("fold") == f).drop("fold"), seed=seed,
         )
-        for f in range(folds)
-    ]
+
+    with ThreadPoolExecutor(folds) as pool:
+        return list(pool.map(fold, range(folds)))
 
 
 @dataclass
