@@ -11,7 +11,7 @@ FAST = [
     "revenue_by_month", "top10_sellers_each_year", "logistics_order_processing_time",
     "mkt_peak_purchase_times_analysis", "churn_features", "churn_features_dedup",
     "cf_interaction_table", "product_content_features", "customer_content_features",
-    "satisfaction_labels", "dq_report", "scd2_merge", "gold_star", "event_sessions",
+    "satisfaction_labels", "dq_report", "scd2_merge", "gold_star", "gold_facts", "gold_round_trip", "event_sessions",
     "event_windows_sliding", "slope_one", "knn_items", "json_requests", "summarise_reviews",
     "sequence_tokens", "impute_median",
 ]

@@ -504,7 +504,7 @@ model_query("churn_boosting", models.gradient_boosting)
 model_query("churn_logistic", lambda: models.logistic(c=1.0))
 model_query("churn_kernel_svc", lambda: models.KernelSVC(rounds=30))
 model_query("churn_decision_tree", models.decision_tree)
-model_query("churn_random_trees", lambda: models.random_trees(50))
+model_query("churn_random_trees", models.random_trees)
 model_query("churn_bagged_knn", models.BaggedNeighbours)
 model_query("churn_stacking", lambda: models.Stacking(
     {
@@ -518,7 +518,7 @@ model_query("churn_stacking", lambda: models.Stacking(
 
 def _search_folds(t: Star) -> list[search.Prepared]:
     return kept(t, "folds", lambda: search.prepare_folds(
-        prep.split(churn_table(t), 0.9, 42, "customer_id")[0], 2, 42, "customer_id"))
+        prep.split(churn_table(t), 0.9, 42, "customer_id")[0], 5, 42, "customer_id"))
 
 
 def halving(t: Star) -> DataFrame:
@@ -532,17 +532,18 @@ def halving(t: Star) -> DataFrame:
 def seeded_search(t: Star) -> DataFrame:
     """Random search over the tree space."""
     found = search.random_search(
-        "decision_tree", models.decision_tree, search.TREE_SPACE, 4, _search_folds(t)
+        "decision_tree", models.decision_tree, search.TREE_SPACE, search.TRIALS["tree"],
+        _search_folds(t),
     )
     return evaluate.run_log(t.spark, found.rows())
 
 
 def surrogate_search(t: Star) -> DataFrame:
     """All trials over the tree space on five folds, each chosen by a Gaussian process."""
-    rows = prep.split(churn_table(t), 0.9, 42, "customer_id")[0]
     found = search.bayesian_search(
         "decision_tree", models.decision_tree, search.TREE_SPACE, search.TRIALS["tree"],
-        search.prepare_folds(rows, 5, 42, "customer_id"))
+        _search_folds(t),
+    )
     return evaluate.run_log(t.spark, found.rows())
 
 
