@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.scalars import sixth
-from tidemart.learn import balance, content_model, evaluate, models, prep, recommend, search
+from tidemart.learn import (
+    balance, content_model, evaluate, models, prep, recommend, search, towers,
+)
 from tidemart.operators import cooccurrence
 from tidemart.operators.neighbours import nearest
 from tidemart.operators.relational import broadcast_if_small
@@ -862,6 +864,20 @@ def content_candidates(t: Star) -> DataFrame:
 over_star("content_score_candidates", content_candidates)
 
 
+def content_towers(t: Star) -> DataFrame:
+    """Held-out labels with the prediction of the two-tower model, which reads the history."""
+    labels = kept(t, "labels", lambda: content.satisfaction_labels(t))
+    train, test = prep.split(labels, 0.8, 42, "customer_unique_id", "product_key")
+    model = towers.fit_towers(
+        kept(t, "customers", lambda: content.customer_content_features(t)),
+        kept(t, "products", lambda: content.product_content_features(t)), train,
+    )
+    return model.predict(test)
+
+
+over_star("content_towers", content_towers)
+
+
 def _versions(t: Star):
     """Brands stand in for models: the largest size of any part is the current version, the
     largest size of a standard part the released one."""
