@@ -726,23 +726,6 @@ def recommender_grid(t: Star) -> DataFrame:
 over_star("recommender_grid", recommender_grid)
 
 
-def descent_grid(t: Star) -> DataFrame:
-    """Held-out errors of SVD and SVD++ by gradient descent at every point of their grids."""
-    train, test = recommend.rating_split(cf_pairs(t))
-    train = written(train, "train")
-    rows = [
-        recommend.grid_search(fit, grid, train, test).withColumn("model", F.lit(name))
-        for name, fit, grid in (
-            ("svd", factor_sgd.fit_svd_sgd, recommend.SVD_GRID),
-            ("svdpp", factor_sgd.fit_svdpp_sgd, recommend.SVDPP_GRID),
-        )
-    ]
-    return rows[0].unionByName(rows[1])
-
-
-over_star("descent_grid", descent_grid)
-
-
 def top_recommendations(t: Star) -> DataFrame:
     return recommend.fit_nmf(cf_pairs(t), rank=15, rounds=50).recommend(10)
 
