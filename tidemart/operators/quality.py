@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemart.operators.relational import orphans
@@ -134,3 +134,26 @@ def rule_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(n).alias("rule"), F.col(n).alias("failing_rows")) for n in rules
     ])))
+
+
+ROWS_SEEN = "rows_seen"
+
+
+def _counts(rules: Mapping[str, Column]) -> list[Column]:
+    return [F.count(F.lit(1)).alias(ROWS_SEEN)] + [
+        F.count(F.when(~F.coalesce(ok, F.lit(False)), 1)).alias(n) for n, ok in rules.items()
+    ]
+
+
+def observed_gate(df: DataFrame, rules: Mapping[str, Column], name: str, mode: str = "drop"
+                  ) -> tuple[Gate, Observation | None]:
+    """The gate whose passing frame also counts what it reads, without a pass of its own.
+
+    A batch gives an ``Observation``, filled by the first action on the passing frame. A stream
+    reports the counts in each progress under ``name``. A stage run again after a lost executor may
+    count its rows twice; ``rule_counts`` is exact at the price of its own pass.
+    """
+    seen = None if df.isStreaming else Observation(name)
+    counted = df.observe(seen or name, *_counts(rules))
+    gate = quality_gate(counted, rules, mode)
+    return Gate(gate.passed, quality_gate(df, rules, mode).quarantined), seen

@@ -14,7 +14,7 @@ from tidemart.oracle import marts as sql_marts
 from tidemart.oracle.star import star_sql
 from tidemart.plans import churn, collaborative, content, marts, text
 from tidemart.registry import over_star, rounded
-from tidemart.session import shared_dir
+from tidemart.session import shared_dir, written
 from tidemart.sources import requests
 from tidemart.sources.tables import publish_mart, run_sql
 
@@ -886,3 +886,18 @@ over_star(
         "count(*) filter (not price < 100000) from s_items"
     ),
 )
+
+
+def observed_counts(t: Star) -> DataFrame:
+    """Rows read and rows that break each rule, counted while the clean rows are written."""
+    gate, seen = quality.observed_gate(t.items, item_rules(), "items")
+    written(gate.passed, "clean-items")
+    return t.spark.createDataFrame(list(seen.get.items()), "rule string, failing_rows long")
+
+
+over_star("quality_observed", observed_counts, star_sql(
+    "select 'freight_positive' as rule, count(*) filter (not freight_value > 0) "
+    "as failing_rows from s_items union all select 'price_below_100k', "
+    "count(*) filter (not price < 100000) from s_items union all "
+    "select 'rows_seen', count(*) from s_items"
+))
