@@ -159,3 +159,15 @@ def test_deduplicate_edge_cases(edge, empty):
     texts = [r["text"] or "" for r in kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).collect()]
     assert len(texts) == len(set(texts))
     assert simhash.deduplicate(empty).count() == 0
+
+
+def test_candidates_by_counts_of_all_shingles(spark, monkeypatch):
+    # No pair is tried whose common shingles are all among the common ones, however many texts there are.
+    monkeypatch.setattr(simhash, "COUNTED", 1, raising=False)
+    passages = [[f"p{i}_{j}" for j in range(20)] for i in range(60)]
+    texts = [(i, i, " ".join(passages[i] + [f"own{i}_{j}" for j in range(60)] + passages[(i + 1) % 60])) for i in range(60)]
+    twin = texts[7][2].rsplit(" ", 1)[0] + " other"
+    texts += [(100, 100, twin), (101, 101, ""), (102, 102, " "), (100, 100, twin)]
+    frame = spark.createDataFrame(texts, "doc_id long, label long, _text string").repartition(3)
+    found = sorted((r["a"], r["b"]) for r in simhash._prefix_pairs(frame, k=5, similarity=0.8).collect())
+    assert found == [(7, 100), (101, 102)]

@@ -29,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import _mix, in_batches, lean, pieces, table
@@ -42,8 +42,6 @@ REFERENCES = 4
 MAX_BITS = 2
 #: Thinned fingerprints per text for `near_duplicates`, and shingles in each.
 THINNED, THIN = 8, 2
-#: About so many shingles are counted to tell the common ones; a sample if there are more.
-COUNTED = 1 << 21
 
 
 def _signed(x: int) -> int:
@@ -280,63 +278,45 @@ def _similar(k: int, least: float):
 
 
 def _listed(k: int):
+    """The different shingles of each text; a text without any has the single token 0."""
     def run(batches):
         for batch in batches:
-            for own in _sets(batch.column("_text"), k):
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["token"])
-
-    return lean(run)
-
-
-def _prefixes(k: int, least: float, common):
-    """Per text its rarest shingles: as many as a similar text may lack, and one more."""
-    def run(batches):
-        known, times = common.value
-        for batch in batches:
-            rows, sizes, places, tokens = [], [], [], []
             for i, own in enumerate(_sets(batch.column("_text"), k)):
-                at = np.searchsorted(known, own)
-                at[at == len(known)] = 0
-                often = np.where(known[at] == own, times[at], 0) if len(known) else np.zeros(len(own), np.int64)
-                n = int((1 - least) * len(own) + 1e-9) + 1
-                first = own[np.lexsort((_mix(own), often))[:n]] if len(own) else np.zeros(1, np.uint64)
-                rows.append(np.full(len(first), i))
-                sizes.append(np.full(len(first), len(own)))
-                places.append(np.arange(len(first)))
-                tokens.append(first.view(np.int64))
-            if not rows:
-                continue
-            row = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(row), batch.column("label").take(row),
-                 *(pa.array(np.concatenate(x).astype(np.int64)) for x in (sizes, places, tokens))],
-                ["doc_id", "label", "size", "place", "token"])
+                at = pa.array(np.full(max(1, len(own)), i))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_row").take(at), batch.column("label").take(at),
+                     pa.array(np.full(len(at), len(own))),
+                     pa.array(own.view(np.int64) if len(own) else np.zeros(1, np.int64))],
+                    ["_row", "label", "size", "token"])
 
     return lean(run)
 
 
-def _prefix_pairs(texts: DataFrame, shingles: int, k: int, similarity: float) -> DataFrame:
+def _prefix_pairs(texts: DataFrame, k: int, similarity: float) -> DataFrame:
     """doc_id, label, _text -> a, b: candidates of different labels; no similar pair is left out.
 
-    Shingles have one order for all texts, rarest first. The first shingle that two similar texts
-    have in common lies among the first (1 - s) n of the longer and the first (1 - 2s / (1 + s)) n
-    of the shorter, and both have enough left after it. The order decides only how many pairs are
-    tried, so counts from a sample of the texts do.
+    Shingles have one order for all texts: those of a single label first, then the rarest, counted
+    over all texts. The first shingle that two similar texts have in common lies among the first
+    (1 - s) n of the longer and the first (1 - 2s / (1 + s)) n of the shorter, and both have enough
+    left after it. Shingles of a single label make no candidates, so they only take up places.
     """
-    kind, label = texts.schema["doc_id"].dataType.simpleString(), texts.schema["label"].dataType.simpleString()
-    share = min(1.0, COUNTED / max(1, shingles))
-    some = texts.where(F.pmod(F.xxhash64(F.lit("common"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    counts = in_batches(some.select("_text")).mapInArrow(_listed(k), "token long").groupBy("token").agg(
-        F.count("*").alias("n")).where("n > 1").toArrow()
-    known = counts.column("token").to_numpy().view(np.uint64)
-    order = np.argsort(known)
-    common = texts.sparkSession.sparkContext.broadcast((known[order], counts.column("n").to_numpy()[order]))
-    held = written(in_batches(texts.select("doc_id", "label", "_text")).mapInArrow(
-        _prefixes(k, similarity, common),
-        f"doc_id {kind}, label {label}, size long, place long, token long"), "prefixes")
-    mixed = held.groupBy(F.col("token").alias("_token")).agg(
-        F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high").select("_token")
-    held = written(held.join(mixed, F.col("token") == F.col("_token"), "left_semi"), "shared-prefixes")
+    label = texts.schema["label"].dataType.simpleString()
+    # Written, so that the numbers of the rows stay.
+    texts = written(texts.withColumn("_row", F.monotonically_increasing_id()), "numbered-texts")
+    listed = written(in_batches(texts.select("_row", "label", "_text")).mapInArrow(
+        _listed(k), f"_row long, label {label}, size long, token long"), "shingles")
+    mixed = written(listed.groupBy(F.col("token").alias("_token")).agg(
+        F.count("*").alias("_n"), F.min("label").alias("_low"), F.max("label").alias("_high")).where(
+        "_low < _high").select("_token", "_n"), "mixed-shingles")
+    shared = listed.join(mixed, F.col("token") == F.col("_token")).select("_row", "size", "token", "_n")
+    own = Window.partitionBy("_row")
+    # The places start after the shingles of a single label.
+    first = shared.withColumn("place", F.col("size") - F.count("*").over(own) + F.row_number().over(
+        own.orderBy("_n", F.xxhash64("token"), "token")) - 1)
+    first = first.where((F.col("place") <= (1 - similarity) * F.col("size") + 1e-9) | (F.col("size") == 0))
+    held = written(first.join(
+        texts.select(F.col("_row").alias("_of"), "doc_id", "label"), F.col("_row") == F.col("_of")).select(
+        "doc_id", "label", "size", "token", F.greatest("place", F.lit(0)).alias("place")), "prefixes")
     a, b = (held.select(*[F.col(c).alias(f"{c}_{side}") for c in held.columns]) for side in ("a", "b"))
     a = a.where(F.col("place_a") <= (1 - 2 * similarity / (1 + similarity)) * F.col("size_a") + 1e-9)
     left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
@@ -420,13 +400,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     unsettled = written(shared.join(
         split, (F.col("_t") == F.col("_st")) & (F.col("_k") == F.col("_sk")), "left_semi").groupBy(
         F.col("doc_id").alias("_id")).agg(F.min("label").alias("label")), "unsettled")
-    total = sketch.join(broadcast_if_small(unsettled), F.col("doc_id") == F.col("_id"), "left_semi").agg(
-        F.sum("shingles")).first()[0]
-    if total is not None:
-        again = written(single.join(
-            broadcast_if_small(unsettled), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "_text"),
-            "unsettled-texts")
-        more = verify(written(_prefix_pairs(again, total, shingle, similarity), "candidates"))
+    if not unsettled.isEmpty():
+        again = single.join(
+            broadcast_if_small(unsettled), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "_text")
+        more = verify(written(_prefix_pairs(again, shingle, similarity), "candidates"))
         if not more.isEmpty():
             labels = components(verified.union(more))
     near_keepers = labels.where(F.col("node") != F.col("label")).select(
