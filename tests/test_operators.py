@@ -361,3 +361,31 @@ def test_broadcast_only_when_proven_small(spark):
     assert "broadcast" in relational.broadcast_if_small(spark.range(5))._jdf.queryExecution().analyzed().toString().lower()
     big = spark.range(10**9)
     assert "ResolvedHint" not in relational.broadcast_if_small(big)._jdf.queryExecution().analyzed().toString()
+
+
+def test_neighbours_write_each_question_once(spark, monkeypatch):
+    """What is kept between the rounds grows with the rows, not with rows times blocks."""
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(1500, 30))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id long, vec array<double>")
+    rows, kept = {}, neighbours.written
+
+    def counted(frame, label):
+        out = kept(frame, label)
+        rows[label] = out.count()
+        return out
+
+    monkeypatch.setattr(neighbours, "written", counted)
+    want = _brute((np.arange(1500), data), data, 3, "euclidean", True)
+    assert _found(neighbours.nearest(df, df, 3, others=True, block=50)) == want
+    assert max(rows.values()) <= 3 * 1500
+
+
+def test_neighbours_of_far_apart_values(spark):
+    """Rough distances never leave out a neighbour, whatever the scale of the columns."""
+    rng = np.random.default_rng(4)
+    data = rng.integers(0, 3, (400, 12)) * 1e-6 + 1e9
+    data[::7] = 1e200 * rng.normal(size=data[::7].shape)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id long, vec array<double>")
+    assert _found(neighbours.nearest(df, df, 4, others=True, block=64)) == _found(
+        neighbours.nearest(df, df, 4, others=True))
