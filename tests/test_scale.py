@@ -1,5 +1,8 @@
 """What crosses the network or the disk stays in proportion, with the same results."""
 
+from pyspark.sql import functions as F
+
+from tidemart.operators import cooccurrence
 from tidemart.plans import collaborative
 
 
@@ -40,3 +43,55 @@ def test_medians_count_every_copy(build):
         want = collaborative.cf_cleaned(table).collect()
         got = collaborative.cf_cleaned(table, collaborative.IDENTITY).select(*table.columns).collect()
         assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def _ratings(spark, users=14, items=12):
+    rows = [(f"u{u}", i, float(1 + (u * 7 + i * 3) % 5)) for u in range(users) for i in range(items)
+            if (u * i + u + 2 * i) % 3 or u == 0]
+    return rows, spark.createDataFrame(
+        [*rows, (None, 1, 2.0), ("u1", None, 3.0)], "user string, item long, r double")
+
+
+def _cells(frame, *cols):
+    return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                  for r in frame.select(*cols).collect())
+
+
+def test_pairs_unfold_where_they_are_summed(spark):
+    _, df = _ratings(spark)
+    for frame in (cooccurrence.nearest_items(df, 4), cooccurrence.pair_sums(df)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_very_popular_items_give_the_same_cells(spark, monkeypatch):
+    _, df = _ratings(spark)
+    asked = df.select("user", ((F.col("item") * 5) % 13).alias("item"))
+    found = []
+    for hot in (20_000_000, 60, 0):
+        monkeypatch.setattr(cooccurrence, "HOT_ITEM", hot)
+        found.append((
+            _cells(cooccurrence.nearest_items(df, 4), "i", "j", "sim"),
+            _cells(cooccurrence.pair_sums(df), "i", "j", "n", "diff", "gap"),
+            sorted(map(str, cooccurrence.slope_one_sums(df, asked).collect())),
+        ))
+    assert found[0] == found[1] == found[2]
+
+
+def test_neighbour_sums_match_brute_force_for_all_users(spark):
+    rows, df = _ratings(spark)
+    near = cooccurrence.nearest_items(df, 3)
+    sims = {}
+    for i, j, s in near.collect():
+        sims.setdefault(i, {})[j] = s
+    asked = [(f"u{u}", i) for u in range(15) for i in range(13)]
+    pairs = spark.createDataFrame(asked, "user string, item long")
+    for heavy in (1, 8, 1000):
+        for r in cooccurrence.neighbour_sums(df, near, pairs, heavy).collect():
+            met = [(sims.get(r["item"], {}).get(j), v) for u, j, v in rows if u == r["user"]]
+            met = [(s, v) for s, v in met if s is not None]
+            if not met:
+                assert r["num"] is None and r["den"] is None
+            else:
+                assert abs(r["num"] - sum(s * v for s, v in met)) < 1e-9
+                assert abs(r["den"] - sum(s for s, _ in met)) < 1e-9
