@@ -389,3 +389,31 @@ def test_neighbours_of_far_apart_values(spark):
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id long, vec array<double>")
     assert _found(neighbours.nearest(df, df, 4, others=True, block=64)) == _found(
         neighbours.nearest(df, df, 4, others=True))
+
+
+def test_neighbours_hold_a_tile_of_a_block_at_once():
+    import pyarrow as pa
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    data, asked = rng.normal(size=(16384, 29)), rng.normal(size=(128, 29)) * 0.5
+
+    def batch(asks, first, vectors, floor):
+        n = len(vectors)
+        zero = np.zeros(n, np.int32)
+        return pa.RecordBatch.from_pydict({
+            "cell": zero, "block": zero, "chunk": zero, "asks": pa.array([asks] * n),
+            "id": np.arange(first, first + n), "floor": floor,
+            "vec": pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * 29, vectors.ravel())})
+
+    gaps = neighbours.distances(asked, data)
+    want = np.sort(gaps, axis=1)[:, :4]
+    for floor in (want[:, 3].copy(), np.full(len(asked), np.inf)):
+        batches = [batch(False, 0, data, np.zeros(len(data))), batch(True, 10 ** 6, asked, floor)]
+        tracemalloc.start()
+        got = list(neighbours._answer(4, 29, "euclidean", True)(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        found = pa.Table.from_batches(got)
+        assert (found.column("d").to_numpy().reshape(-1, 4) == want).all()
+        assert peak < 20e6
