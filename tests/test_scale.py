@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tidemart.operators import cooccurrence
-from tidemart.plans import collaborative
+from tidemart.operators.relational import with_firsts
+from tidemart.plans import collaborative, content
 
 
 def _repeated_products(build):
@@ -95,3 +96,33 @@ def test_neighbour_sums_match_brute_force_for_all_users(spark):
             else:
                 assert abs(r["num"] - sum(s * v for s, v in met)) < 1e-9
                 assert abs(r["den"] - sum(s for s, _ in met)) < 1e-9
+
+
+def test_distinct_counts_do_not_copy_rows(build):
+    star = _repeated_products(build)
+    for frame, counts in (
+        (content.product_sales(star), ["num_unique_purchasers", "num_sellers"]),
+        (content.customer_transactions(star), ["frequency", "distinct_sellers_count"]),
+    ):
+        assert "Expand" not in frame._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in frame.select(*counts).collect()} <= {(2, 1), (5, 1), (3, 1)}
+
+
+def test_first_rows_count_distinct_values(spark):
+    rows = [(1, "a", 1), (1, "a", 2), (1, None, 2), (2, "b", None), (2, "b", None), (None, "c", 1), (None, "d", 1)]
+    df = spark.createDataFrame(rows, "k long, x string, y long")
+    want = df.groupBy("k").agg(F.countDistinct("x").alias("x"), F.countDistinct("y").alias("y"))
+    got = with_firsts(df, "k", "x", "y").groupBy("k").agg(
+        F.sum("first_x").alias("x"), F.sum("first_y").alias("y"))
+    assert got.schema["x"].dataType == want.schema["x"].dataType
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_lines_meet_placed_orders_once(small):
+    """Same rows as items joined with orders and customers, though orders meet customers first."""
+    placed = small.orders.select("order_key", "order_purchase_date_key")
+    persons = small.customers.select("customer_key", "customer_unique_id")
+    cols = ["order_key", "product_key", "seller_key", "order_purchase_date_key", "customer_unique_id"]
+    got = small.sold(["product_key", "seller_key"], placed, persons).select(*cols)
+    want = small.items.join(placed, "order_key").join(persons, "customer_key").select(*cols)
+    assert got.count() == want.count() and not got.exceptAll(want).head(1)
