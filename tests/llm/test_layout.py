@@ -78,6 +78,18 @@ def test_long_texts_come_in_chunks(monkeypatch, tokenizer):
             assert got[i].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [2]
 
 
+def test_plain_words_skip_the_normalizer(tokenizer):
+    """Words with Western letters go to the model many at a time, as ASCII words do."""
+    texts = ["Élan DÉJÀ vu, groß. x1 ÿ</w> ÀÖØÞ$$$ 42", "naïve–", "l'été × ÷ \u00a0 Straße"]
+    made = packing.WordIds(PATH)
+    got = [ids.tolist() for _, ids in packing.tokenized(pa.array(texts), made)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    made.clear()
+    made.tokenizer = None
+    (_, ids), = packing.tokenized(pa.array(texts[:1]), made)
+    assert ids.tolist() == got[0]
+
+
 def test_differencing():
     rng = random.Random(2)
     sizes = [rng.randint(1, 400) for _ in range(300)]

@@ -37,7 +37,9 @@ END = 2
 REMEMBERED = 1 << 19
 #: Words handed to the tokenizer at once; its results take a kilobyte each.
 AT_ONCE = 4096
-RUNS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
+#: Words of printable ASCII and Western letters, without an apostrophe, and their runs in lower case.
+PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
+RUNS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 class WordIds:
@@ -45,11 +47,19 @@ class WordIds:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        named = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.names = {c: named.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100))}
+        # The model marks the last token of every run.
+        vocabulary, mark = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        if mark:
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -59,37 +69,39 @@ class WordIds:
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
-    def _encoded(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word. Printable ASCII without an apostrophe skips the normalizer: lower-cased
-        and cut into letters, single digits and the rest, it goes to the same model."""
-        made: list = [None] * len(words)
-        plain, runs, hard = [], [], []
-        for i, w in enumerate(words):
-            if w.isascii() and w.isprintable() and "'" not in w:
-                cut = RUNS.findall(w.lower())
-                plain.append((i, len(cut)))
-                runs += cut
-            else:
-                hard.append(i)
-        for i, e in zip(hard, self.tokenizer.encode_batch_fast(
-                [words[i] for i in hard], add_special_tokens=False)):
-            made[i] = e.ids
-        ids = [e.ids for e in self.model.encode_batch_fast(runs, add_special_tokens=False)]
-        at = 0
-        for i, n in plain:
-            made[i] = ids[at] if n == 1 else [x for one in ids[at:at + n] for x in one]
-            at += n
-        return made
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, ids per word) of PLAIN words. They skip the normalizer: lower-cased, cut
+        into letters, single digits and the rest, their bytes named, they go to the same model."""
+        cut = [RUNS.findall(w) for w in " ".join(words).lower().split(" ")]
+        runs = [r for one in cut for r in one]
+        text = " ".join(runs)
+        for c in set(text).intersection(self.names):
+            text = text.replace(c, self.names[c])
+        made, = self.model.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(made.ids, np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(runs):  # a run whose end the model does not tell
+            return self._each(words)
+        upto = ends[np.cumsum([len(one) for one in cut]) - 1]
+        return ids, np.diff(upto, prepend=0)
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        length = np.fromiter(map(len, made), np.int64, len(made))
+        return np.fromiter((i for ids in made for i in ids), np.uint32, int(length.sum())), length
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        made = [ids for i in range(0, len(words), AT_ONCE) for ids in self._encoded(words[i:i + AT_ONCE])]
-        length = np.fromiter(map(len, made), np.int64, len(made))
-        flat = np.fromiter((i for ids in made for i in ids), np.uint32, int(length.sum()))
-        if self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate((self.pool, np.zeros(len(self.pool) + len(flat), np.uint32)))
-        self.pool[self.used:self.used + len(flat)] = flat
-        begin = self.used + np.cumsum(length) - length
-        self.used += len(flat)
+        plain = np.fromiter((PLAIN.fullmatch(w) is not None for w in words), bool, len(words))
+        begin, length = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for places, encoded in ((np.flatnonzero(plain), self._plain), (np.flatnonzero(~plain), self._each)):
+            for i in range(0, len(places), AT_ONCE):
+                some = places[i:i + AT_ONCE]
+                flat, length[some] = encoded([words[k] for k in some])
+                if self.used + len(flat) > len(self.pool):
+                    self.pool = np.concatenate((self.pool, np.zeros(len(self.pool) + len(flat), np.uint32)))
+                self.pool[self.used:self.used + len(flat)] = flat
+                begin[some] = self.used + np.cumsum(length[some]) - length[some]
+                self.used += len(flat)
         at = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, at, keys)
         self.begin = np.insert(self.begin, at, begin)
