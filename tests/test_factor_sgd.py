@@ -1,12 +1,13 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tidemart.learn import factor_sgd
 from tidemart.learn.factor_sgd import fit_sgd, fit_svdpp_sgd
-from tidemart.session import written
+from tidemart.session import few_at_once, written
 
 
 def _ratings(spark, n=25, seed=5):
@@ -88,6 +89,27 @@ def test_equals_sequential_descent(spark, monkeypatch, implicit, blocks):
         np.testing.assert_allclose(row["_q"], qi[i], atol=1e-9)
 
 
+def test_waves_keep_the_order_of_every_user_and_item():
+    rng = np.random.default_rng(4)
+    users, items = np.divmod(np.sort(rng.permutation(60 * 80)[:3000]), 80)
+    dealt = factor_sgd.waves(users, items)
+    assert sorted(np.concatenate(dealt).tolist()) == list(range(3000)) and len(dealt) < 1000
+    wave = np.empty(3000, int)
+    for number, some in enumerate(dealt):
+        wave[some] = number
+        assert len(set(users[some])) == len(set(items[some])) == len(some)
+    for ends in (users, items):
+        for one in set(ends):
+            assert (np.diff(wave[ends == one]) > 0).all()
+    assert factor_sgd.waves(users[:0], items[:0]) == []
+
+
+def test_rows_with_lists_come_in_small_batches(spark):
+    rows = few_at_once(spark.range(3000, numPartitions=1).select(F.array("id").alias("x")))
+    sizes = rows.mapInPandas(lambda fs: (pd.DataFrame({"n": [len(f)]}) for f in fs), "n long").collect()
+    assert max(r["n"] for r in sizes) <= 512 and sum(r["n"] for r in sizes) == 3000
+
+
 def test_learns_and_knows_strangers(spark):
     frame = written(spark.createDataFrame(_ratings(spark), "user string, item string, r double")
                     .withColumn("r", F.when(F.col("item") < "i3", 5.0).otherwise(1.0)), "sgd")
