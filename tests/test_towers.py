@@ -120,3 +120,19 @@ def test_few_slots_share_vectors(spark):
     model = towers.fit_towers(people, goods, labels, epochs=1, batches=1, slots=1)
     assert len(model.params["c.emb"]) == 1 and len(model.params["c.seq"]) == 2
     assert model.predict(labels).count() == 49
+
+
+def test_histories_meet_their_vectors_as_one_product():
+    """A batch holds each token once, and the rows' shares of it; rows without a history hold zeros."""
+    frame = pd.DataFrame({
+        "c_cats": [[0], [1], [0]], "c_nums": [[1.0], [2.0], [3.0]],
+        "c_tokens": [[7, 2], [], [2]], "c_shares": [[0.25, 0.75], [], [1.0]],
+    })
+    got = towers._side(frame, "c")
+    assert got["token"].tolist() == [2, 7]
+    assert got["share"].tolist() == [[0.75, 0.25], [0.0, 0.0], [1.0, 0.0]]
+    none = towers._side(frame.iloc[1:2], "c")
+    assert none["share"].shape == (1, 0)
+    params = towers.initial(
+        {s: {"codes": 2, "cats": 1, "nums": 1, "tokens": 8} for s in "cp"}, 4, 5, 3.0, 1)
+    assert np.isfinite(towers.forward(params, "c", none)[0]).all()
