@@ -50,6 +50,11 @@ def _signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
+def test_the_keys_of_the_fingerprints_are_not_broadcast(spark):
+    plan = simhash.links(spark.range(1000).toDF("fp"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_every_link_is_found_once(spark):
     rng = random.Random(4)
     prints = {0, (1 << 64) - 1}

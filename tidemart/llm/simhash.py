@@ -175,8 +175,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     farthest = F.greatest(*[
         F.abs(_distance(a, p) - _distance(b, p)) for p in PIVOTS + [q for row in PARTNERS for q in row]])
     diff = a.bitwiseXOR(b)
+    # Spark counts the 28 keys of a fingerprint as one row and would broadcast them all.
     return left.join(
-        right, (F.col("_key") == F.col("key")) & (a < b) & (farthest <= max_bits)
+        right.hint("merge"), (F.col("_key") == F.col("key")) & (a < b) & (farthest <= max_bits)
         & (F.bit_count(diff) <= max_bits) & (F.col("_pair") == _first_key(diff))).select("a", "b")
 
 
