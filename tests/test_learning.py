@@ -251,6 +251,22 @@ def test_rating_tuner_keeps_the_best(spark):
     assert tuner.best == grid[rmse.index(min(rmse))] and tuner.log(spark).count() == 4
 
 
+def test_recommender_grid_tries_every_model(spark, monkeypatch):
+    from tidemart import registry_learning
+
+    assert [(name, grid) for name, _, grid in registry_learning.RECOMMENDERS] == [
+        ("svd", recommend.SVD_GRID), ("svdpp", recommend.SVDPP_GRID), ("nmf", recommend.NMF_GRID)]
+    short = [(name, fit, [{"rank": r, "rounds": 1} for r in (2, 3)])
+             for name, fit, _ in registry_learning.RECOMMENDERS]
+    ratings = written(_rating_rows(spark), "grid")
+    monkeypatch.setattr(registry_learning, "RECOMMENDERS", short)
+    monkeypatch.setattr(registry_learning, "cf_pairs", lambda t: ratings)
+    rows = registry_learning.recommender_grid(None).collect()
+    assert sorted((r["model"], r["trial"]) for r in rows) == [
+        (name, trial) for name in ("nmf", "svd", "svdpp") for trial in (0, 1)]
+    assert all(0 < r["mae"] <= r["rmse"] for r in rows)
+
+
 def test_content_model_learns_and_reloads(spark, small, tmp_path):
     from tidemart.plans import content
 
