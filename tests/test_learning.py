@@ -267,6 +267,44 @@ def test_recommender_grid_tries_every_model(spark, monkeypatch):
     assert all(0 < r["mae"] <= r["rmse"] for r in rows)
 
 
+def test_content_model_equals_the_regressor_on_repeated_rows(spark):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import FMRegressor
+
+    people = spark.createDataFrame(
+        [(f"u{i}", f"city{i % 3}" if i % 4 else None, float(i * i % 11), i, "a,b") for i in range(12)],
+        "customer_unique_id string, city string, spent double, seen long, purchase_category_history string")
+    goods = spark.createDataFrame(
+        [(i, ("x", "y", None)[i % 3], i * 7 % 5 + 0.5) for i in range(9)], "product_key long, kind string, price double")
+    labels = spark.createDataFrame(
+        [(f"u{i}", j, float((i * j) % 5 + 1), (i + j) % 4) for i in range(11) for j in range(9) if (i + j) % 3],
+        "customer_unique_id string, product_key long, avg_review_score_by_user double, purchase_count long")
+    counted = content_model.repeated(labels, "purchase_count", "n")
+    copied = content_model.repeated(labels, "purchase_count")
+    assert counted.count() == labels.count() and counted.agg(F.sum("n")).first()[0] == copied.count()
+
+    model = content_model.fit_content(people, goods, labels, factors=3, rounds=6)
+    ready, machine = PipelineModel(model.stages.stages[:-1]), model.stages.stages[-1]
+    want = FMRegressor(
+        labelCol="avg_review_score_by_user", factorSize=3, maxIter=6, stepSize=0.05, seed=42,
+    ).fit(ready.transform(model.rows(copied)))
+    np.testing.assert_allclose(machine.factors.toArray(), want.factors.toArray(), rtol=1e-9, atol=1e-12)
+    np.testing.assert_allclose(machine.linear.toArray(), want.linear.toArray(), rtol=1e-9, atol=1e-12)
+    assert machine.intercept == pytest.approx(want.intercept, rel=1e-9)
+
+    # u11 was not in the training rows; u99 is not known at all.
+    asked = spark.createDataFrame(
+        [("u1", 2, "q"), ("u11", 3, "q"), ("u11", 3, "q"), ("u99", 3, "q"), (None, 1, "q")],
+        "customer_unique_id string, product_key long, note string")
+    got = model.predict(asked)
+    assert got.columns == [*asked.columns, "prediction"]
+    plain = model.stages.transform(model.rows(asked)).select(*asked.columns, "prediction")
+    order = ("customer_unique_id", "product_key")
+    got, plain = ([tuple(r) for r in df.orderBy(*order).collect()] for df in (got, plain))
+    assert [r[:-1] for r in got] == [r[:-1] for r in plain] and len(got) == 3
+    np.testing.assert_allclose([r[-1] for r in got], [r[-1] for r in plain], rtol=1e-9)
+
+
 def test_content_model_learns_and_reloads(spark, small, tmp_path):
     from tidemart.plans import content
 
